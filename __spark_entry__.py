@@ -111,12 +111,20 @@ def session_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_micros(_sessionized(spark, sf_dir), "generated_session_id", "dt")
 
 
+def session_ids_hot_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every user of 80 events or more taking the way of hot users."""
+    labelled = sessions.sessionize(_events(spark, sf_dir), GAP_12H, hot_events=SKEWED_FROM)
+    return _with_micros(calendar.with_local_date(labelled), "generated_session_id", "dt")
+
+
 def session_ids_gap12h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_micros(_sessionized(spark, sf_dir, GAP_12H), "generated_session_id", "dt")
 
 
-def _flags(spark: SparkSession, sf_dir: str, gap: int) -> DataFrame:
-    return sessions.gap_seconds(_events(spark, sf_dir)).select(
+def _flags(
+    spark: SparkSession, sf_dir: str, gap: int, hot_events: int = sessions.HOT_EVENTS
+) -> DataFrame:
+    return sessions.gap_seconds(_events(spark, sf_dir), hot_events=hot_events).select(
         "product_id",
         "user_id",
         "gap_seconds",
@@ -128,6 +136,10 @@ def session_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flags(spark, sf_dir, GAP_5M)
 
 
+def session_flags_hot_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flags(spark, sf_dir, GAP_12H, SKEWED_FROM)
+
+
 def session_flags_gap12h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flags(spark, sf_dir, GAP_12H)
 
@@ -157,17 +169,19 @@ def target_dates_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events on a range of dates, with the session IDs they have in the whole."""
+    history = _dated(spark, sf_dir)
+    wanted = calendar.date_range(history, RANGE_START, RANGE_END)
     return _with_micros(
-        calendar.date_range(_sessionized(spark, sf_dir, GAP_12H), RANGE_START, RANGE_END),
-        "generated_session_id",
-        "dt",
+        sessions.sessionize_within(wanted, history, GAP_12H), "generated_session_id", "dt"
     )
 
 
 def date_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of one date, with the session IDs they have in the whole."""
+    history = _dated(spark, sf_dir)
+    wanted = calendar.date_slice(history, SLICE_DATE)
     return _with_micros(
-        calendar.date_slice(_sessionized(spark, sf_dir, GAP_12H), SLICE_DATE),
-        "generated_session_id",
+        sessions.sessionize_within(wanted, history, GAP_12H), "generated_session_id"
     )
 
 
@@ -374,8 +388,10 @@ _QUERIES = (
     wau_published,
     session_ids,
     session_ids_gap12h,
+    session_ids_hot_users,
     session_flags,
     session_flags_gap12h,
+    session_flags_hot_users,
     cross_day_sessions,
     local_dates,
     target_dates,
@@ -506,8 +522,10 @@ def oracle_sql() -> dict[str, str]:
         "wau_published": _wau_sql(GAP_12H),
         "session_ids": five + published,
         "session_ids_gap12h": half_day + published,
+        "session_ids_hot_users": half_day + published,
         "session_flags": five + flags,
         "session_flags_gap12h": half_day + flags,
+        "session_flags_hot_users": half_day + flags,
         "cross_day_sessions": half_day
         + "SELECT generated_session_id, min(dt) AS first_dt, max(dt) AS last_dt,"
         " count(*) AS event_count FROM sessionized"

@@ -1,18 +1,26 @@
-"""Gap sessionization that never puts one user's history into one task.
+"""Gap sessionization that no single user can overload.
 
 A session is a run of one user's events in which each event follows the one
-before by less than ``gap`` whole seconds. Time is cut into cells of exactly
-``gap`` seconds. Two events of a user in one cell are less than ``gap`` apart,
-so a cell never straddles two sessions and its first and last second say
-everything about it. The work is then
-
-1. group by (user, cell) to those two numbers. The partial aggregation on the
-   map side shrinks a hot user, or any number of copies, before the shuffle;
-2. one window per user over cells, not events. A user has at most
-   ``time span / gap`` cells (105,120 a year at 300 s) however many events;
-3. join the session start back to the events on (user, cell). Each cell is one
-   row on the right, so rows never multiply, and a hot (user, cell) on the
-   left is split by adaptive skew handling.
+before by less than ``gap`` whole seconds. There are two exact ways to find it:
+
+*By window.* Partition by user, order by time, look one row back, carry the
+latest start forward. One shuffle of the events; but a user's whole history is
+one task's work.
+
+*By cell.* Cut time into cells of exactly ``gap`` seconds. Two events of a user
+in one cell are less than ``gap`` apart, so a cell never straddles two sessions
+and its first and last second say everything about it. Group by (user, cell) to
+those two numbers, run the window over a user's cells, and join the session
+start back to the events on (user, cell). The grouping is partially done before
+the shuffle, so copies and hot users shrink on the map side; a user has at most
+``time span / gap`` cells (105,120 a year at 300 s) however many events; each
+cell is one row on the right of the join, so rows never multiply, and a hot
+(user, cell) on the left is split by adaptive skew handling.
+
+:func:`sessionize` sends the few users with very many events by cell and all
+others by window. :func:`sessionize_within` goes by cell for everyone: it labels
+a subset of the events as if the whole history were labelled, and moves the
+history through the shuffle as two columns only.
 """
 
 from __future__ import annotations
@@ -23,22 +31,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import epoch_seconds, floor_to, utc_stamp
+from tidemark.operators.skew import skewed_users
 from tidemark.schema import DATE, SESSION_ID
 
 # Fixed values.
 SESSION_GAP = 300
 EVENT_ORDER = ("event_time", "event_type", "product_id")
 
-USER, TIME = "user_id", "event_time"
-
-
-def _identified(events: DataFrame) -> DataFrame:
-    """Events that can belong to a session: with both a user and a time."""
-    return events.where(F.col(USER).isNotNull() & F.col(TIME).isNotNull())
-
+# Users with HOT_EVENTS events or more go by cell, the HOT_USERS busiest of them
+# if there are more. So the list is at most HOT_USERS numbers, small enough to
+# broadcast, and among N events a user that is not on it has fewer than
+# max(HOT_EVENTS, N / HOT_USERS).
+HOT_EVENTS = 1_000_000
+HOT_USERS = 100_000
 
-def _cell(gap: int) -> Column:
-    return floor_to(epoch_seconds(F.col(TIME)), gap)
+USER, TIME = "user_id", "event_time"
 
 
 def new_session_flag(gap_seconds: Column, gap: int = SESSION_GAP) -> Column:
@@ -51,80 +58,161 @@ def session_id(user: Column, start_second: Column) -> Column:
     return F.concat(user.cast("string"), F.lit("_"), utc_stamp(start_second))
 
 
-def activity_cells(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
-    """First and last active second of every (user, cell)."""
-    second = epoch_seconds(F.col(TIME))
+def _second() -> Column:
+    return epoch_seconds(F.col(TIME))
+
+
+def _cell(gap: int) -> Column:
+    return floor_to(_second(), gap)
+
+
+def _identified() -> Column:
+    """Whether an event can belong to a session: it has a user and a time."""
+    return F.col(USER).isNotNull() & F.col(TIME).isNotNull()
+
+
+def _labelled(events: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return events.select(
+        *columns, session_id(F.col(USER), F.col("start_second")).alias(SESSION_ID)
+    )
+
+
+def hot_users(
+    events: DataFrame, hot_events: int = HOT_EVENTS, limit: int = HOT_USERS
+) -> DataFrame:
+    """Users to keep out of per-user windows; never more than ``limit`` rows."""
     return (
-        _identified(events)
-        .groupBy(USER, _cell(gap).alias("cell"))
-        .agg(F.min(second).alias("first_second"), F.max(second).alias("last_second"))
+        skewed_users(events.where(_identified()), hot_events)
+        .orderBy(F.desc("event_count"), USER)
+        .limit(limit)
+        .select(USER)
+    )
+
+
+def _by_heat(
+    events: DataFrame, hot_events: int, limit: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split events into those of ordinary users, of hot users, and of neither."""
+    hot = F.broadcast(hot_users(events, hot_events, limit))
+    known = events.where(_identified())
+    return (
+        known.join(hot, USER, "left_anti"),
+        known.join(hot, USER, "left_semi"),
+        events.where(~_identified()),
     )
 
 
-def session_start(cells: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
-    """Add ``start_second``, the start of the session each cell belongs to."""
-    by_user = Window.partitionBy(USER).orderBy("cell")
+def session_start(
+    ordered: DataFrame, order: str, first: str, last: str, gap: int
+) -> DataFrame:
+    """Add ``start_second`` to rows that each cover ``first``..``last`` seconds
+    of one user's activity, going by ``order``."""
+    by_user = Window.partitionBy(USER).orderBy(order)
     so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    silence = F.col("first_second") - F.lag("last_second").over(by_user)
-    opened = F.when(new_session_flag(F.col("silence"), gap), F.col("first_second"))
+    opened = F.when(new_session_flag(F.col("silence"), gap), F.col(first))
     return (
-        cells.withColumn("silence", silence)
+        ordered.withColumn("silence", F.col(first) - F.lag(last).over(by_user))
         .withColumn("opened", opened)
-        .select(
-            USER,
-            "cell",
-            F.last("opened", ignorenulls=True).over(so_far).alias("start_second"),
-        )
+        .withColumn("start_second", F.last("opened", ignorenulls=True).over(so_far))
+    )
+
+
+def activity_cells(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
+    """First and last active second of every (user, cell)."""
+    return (
+        events.where(_identified())
+        .groupBy(USER, _cell(gap).alias("cell"))
+        .agg(F.min(_second()).alias("first_second"), F.max(_second()).alias("last_second"))
+    )
+
+
+def _label_by_window(events: DataFrame, gap: int) -> DataFrame:
+    # Events at one time need no further order: a gap of zero opens nothing.
+    seconds = events.withColumn("second", _second())
+    return _labelled(session_start(seconds, TIME, "second", "second", gap), events.columns)
+
+
+def _label_by_cell(events: DataFrame, history: DataFrame, gap: int) -> DataFrame:
+    cells = activity_cells(history, gap)
+    starts = session_start(cells, "cell", "first_second", "last_second", gap)
+    joined = events.withColumn("cell", _cell(gap)).join(
+        starts.select(USER, "cell", "start_second"), [USER, "cell"], "left"
     )
+    return _labelled(joined, events.columns)
 
 
 def sessionize(
-    events: DataFrame, gap: int = SESSION_GAP, history: DataFrame | None = None
+    events: DataFrame,
+    gap: int = SESSION_GAP,
+    hot_events: int = HOT_EVENTS,
+    hot_users: int = HOT_USERS,
 ) -> DataFrame:
     """Add the session ID to every event.
 
-    Sessions are found over ``history`` (by default ``events`` itself), so a
-    subset of events gets the IDs it has in the whole. A filter put on the
-    result reaches ``events`` below the join, while ``history`` stays whole.
-    An event without a user or a time is kept, with a NULL ID.
+    An event without a user or a time is kept, with a NULL ID. The limits only
+    choose how a user's sessions are found, never what they are.
     """
-    starts = session_start(activity_cells(events if history is None else history, gap), gap)
+    ordinary, hot, unidentified = _by_heat(events, hot_events, hot_users)
     return (
-        events.withColumn("cell", _cell(gap))
-        .join(starts, [USER, "cell"], "left")
-        .select(
-            *[F.col(name) for name in events.columns],
-            session_id(F.col(USER), F.col("start_second")).alias(SESSION_ID),
-        )
+        _label_by_window(ordinary, gap)
+        .unionByName(_label_by_cell(hot, hot, gap))
+        .unionByName(unidentified.withColumn(SESSION_ID, F.lit(None).cast("string")))
+        .select(*events.columns, SESSION_ID)
     )
 
 
-def gap_seconds(events: DataFrame, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+def sessionize_within(
+    events: DataFrame, history: DataFrame, gap: int = SESSION_GAP
+) -> DataFrame:
+    """Add to ``events`` the session IDs they have within ``history``.
+
+    For labelling a part of the history, such as some dates. ``events`` must be
+    contained in ``history``; one without a user or a time gets a NULL ID.
+    """
+    return _label_by_cell(events, history, gap)
+
+
+def gap_seconds(
+    events: DataFrame,
+    order: Sequence[str] = EVENT_ORDER,
+    hot_events: int = HOT_EVENTS,
+    hot_users: int = HOT_USERS,
+) -> DataFrame:
     """Add ``gap_seconds``: whole seconds since the user's previous event.
 
-    NULL for a user's first event. Events are ordered by ``order`` within a
-    user, NULLs first. Only the first event of a (user, second) can have a gap
-    other than zero, so the window runs over seconds and the events look their
-    value up. Events equal in all of ``order`` share it; pass an order that
-    ends in a unique column to tell copies apart.
+    NULL for a user's first event, and where the user or the time is missing.
+    Events are ordered by ``order`` within a user, NULLs first. For hot users
+    the window runs over their distinct seconds, and the first event of a
+    second looks its gap up; all others in it have none. Events of a hot user
+    that are equal in all of ``order`` share the value; end ``order`` with a
+    unique column to tell such copies apart.
     """
-    key = F.struct(*[F.col(name) for name in order])
-    second = epoch_seconds(F.col(TIME))
-    by_user = Window.partitionBy(USER).orderBy("second")
+    ordinary, hot, unidentified = _by_heat(events, hot_events, hot_users)
+    by_order = Window.partitionBy(USER).orderBy(*order)
+    by_window = ordinary.withColumn("second", _second()).withColumn(
+        "gap_seconds", F.col("second") - F.lag("second").over(by_order)
+    )
+
+    key = F.struct(*order)
+    by_second = Window.partitionBy(USER).orderBy("second")
     seconds = (
-        _identified(events)
-        .groupBy(USER, second.alias("second"))
+        hot.groupBy(USER, _second().alias("second"))
         .agg(F.min(key).alias("head"))
-        .withColumn("silence", F.col("second") - F.lag("second").over(by_user))
+        .withColumn("silence", F.col("second") - F.lag("second").over(by_second))
+    )
+    is_head = key.eqNullSafe(F.col("head"))
+    by_lookup = (
+        hot.withColumn("second", _second())
+        .join(seconds, [USER, "second"])
+        .withColumn("gap_seconds", F.when(is_head, F.col("silence")).otherwise(0))
     )
+
+    columns = [*events.columns, "gap_seconds"]
     return (
-        events.withColumn("second", second)
-        .join(seconds, [USER, "second"], "left")
-        .select(
-            *[F.col(name) for name in events.columns],
-            F.when(key.eqNullSafe(F.col("head")), F.col("silence"))
-            .when(F.col("head").isNotNull(), F.lit(0).cast("bigint"))
-            .alias("gap_seconds"),
+        by_window.select(*columns)
+        .unionByName(by_lookup.select(*columns))
+        .unionByName(
+            unidentified.withColumn("gap_seconds", F.lit(None).cast("bigint")).select(*columns)
         )
     )
 

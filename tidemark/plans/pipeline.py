@@ -15,7 +15,7 @@ from tidemark.functions.clock import LOCAL_ZONE
 from tidemark.operators import ledger
 from tidemark.operators.calendar import date_range, with_local_date
 from tidemark.operators.metrics import daily_counts
-from tidemark.operators.sessions import SESSION_GAP, sessionize
+from tidemark.operators.sessions import SESSION_GAP, sessionize, sessionize_within
 from tidemark.operators.skew import SKEW_THRESHOLD, skewed_user_count, top_users
 from tidemark.schema import DATE
 from tidemark.session import shared_dir
@@ -124,11 +124,16 @@ def run(
         if skewed:
             log.warning("%d users have %d events or more", skewed, skew_threshold)
 
-        undated_rows, undated_path = _set_aside_undated(staged, folder, run_id)
-        counts = daily_counts(date_range(staged.where(F.col(DATE).isNotNull()), start_date, end_date))
+        rows, dated_rows = staged.agg(F.count("*"), F.count(DATE)).first()
+        undated_path = f"{folder}/undated/{run_id}" if rows > dated_rows else None
+        if undated_path:
+            staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(undated_path)
+            log.warning("%d rows without a time are in %s", rows - dated_rows, undated_path)
+
+        dated = date_range(staged.where(F.col(DATE).isNotNull()), start_date, end_date)
         plan = (
             ledger.plan(
-                counts,
+                daily_counts(dated),
                 store.current(spark),
                 publish.published_counts(spark, output),
                 detect_growth,
@@ -136,10 +141,11 @@ def run(
             .orderBy(DATE)
             .collect()
         )
-        summary = RunSummary(run_id, plan, top, skewed, undated_rows, undated_path)
+        summary = RunSummary(run_id, plan, top, skewed, rows - dated_rows, undated_path)
         todo = [row for row in plan if row["action"] != ledger.SKIP]
         if todo:
-            _publish(spark, staged, todo, summary, output, store, gap, table)
+            labelled = _label(staged, todo, gap, dated_rows)
+            _publish(spark, labelled, todo, summary, output, store, table)
         else:
             log.warning("nothing to do in %s", input_dir)
         catalog.register_dates(spark, [row[DATE] for row in plan], output, table)
@@ -150,27 +156,25 @@ def run(
     return summary
 
 
-def _set_aside_undated(
-    staged: DataFrame, folder: str, run_id: str
-) -> tuple[int, str | None]:
-    undated = staged.where(F.col(DATE).isNull())
-    rows = undated.count()
-    if not rows:
-        return 0, None
-    path = f"{folder}/undated/{run_id}"
-    undated.drop(DATE).write.parquet(path)
-    log.warning("%d rows without a time are in %s", rows, path)
-    return rows, path
+def _label(staged: DataFrame, todo: list[Row], gap: int, input_rows: int) -> DataFrame:
+    """Sessionize the rows of the dates in ``todo`` within the whole input.
+
+    If they are most of the input, all of it is labelled with one shuffle.
+    Otherwise only they are shuffled in full, and the rest by two columns.
+    """
+    wanted = F.col(DATE).isin([row[DATE] for row in todo])
+    if 2 * sum(row["source_count"] for row in todo) > input_rows:
+        return sessionize(staged, gap).where(wanted)
+    return sessionize_within(staged.where(wanted), staged, gap)
 
 
 def _publish(
     spark: SparkSession,
-    staged: DataFrame,
+    labelled: DataFrame,
     todo: list[Row],
     summary: RunSummary,
     output: str,
     store: LedgerStore,
-    gap: int,
     table: str,
 ) -> None:
     dates = [row[DATE] for row in todo]
@@ -194,9 +198,6 @@ def _publish(
     store.append(ledger.begin(of_dates([0] * len(dates), "unused", "int"), summary.run_id, _now(), seq + 1))
 
     try:
-        # The filter reaches the left side of the join in sessionize: only the
-        # wanted dates are shuffled in full, the history only by two columns.
-        labelled = sessionize(staged, gap).where(F.col(DATE).isin(dates))
         publish.write_dates(labelled, output)
         written = {
             row[DATE]: row["record_count"]
