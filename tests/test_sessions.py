@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import sessions
 from tidemark.operators.calendar import with_local_date
+from tidemark.operators.skew import user_event_counts
 from tidemark.schema import RAW_EVENTS
 from tidemark.sources.raw import read_activity_table
 
@@ -132,7 +133,7 @@ def test_every_way_equals_brute_force(spark, gap, seed, users):
     for session in brute_force(rows, gap):
         user, second = session.split("_")
         expected.append(f"{user}_{start + timedelta(seconds=int(second)):%Y%m%d%H%M%S}")
-    some_hot = {"hot_events": 120 // users, "hot_users": 2}
+    some_hot = {"hot_events": 120 // users, "hot_limit": 2}
     for way in (NEVER_HOT, ALWAYS_HOT, some_hot, "within"):
         assert ids(label(frame, way, gap)) == expected
 
@@ -192,9 +193,9 @@ def test_gap_seconds(spark, hot):
 
 def test_hot_list_is_bounded_and_takes_the_busiest(events):
     rows = [(u, "2024-01-01 00:00:00") for u in range(10) for _ in range(u + 1)]
-    frame = events(*rows)
-    assert [r.user_id for r in sessions.hot_users(frame, 4, 3).collect()] == [9, 8, 7]
-    assert sessions.hot_users(frame, 9, 100).count() == 2
+    counts = user_event_counts(events(*rows, *[(None, "2024-01-01 00:00:00")] * 20))
+    assert [r.user_id for r in sessions.hot_users(counts, 4, 3).collect()] == [9, 8, 7]
+    assert sessions.hot_users(counts, 9, 100).count() == 2
 
 
 def plan_of(frame):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.weekly import sessionized_events
 from tidemark.schema import EVENTS, RAW_EVENTS
-from tidemark.session import shared_dir, shuffle_partitions
+from tidemark.session import shared_dir, shuffle_partitions, shuffle_width
 from tidemark.sources import catalog, publish, raw
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
@@ -185,6 +185,14 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_shuffle_width():
-    assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(50 * 2**40, 4000) == 204_800
+def test_shuffle_width(spark):
+    assert shuffle_partitions(0) == 1
+    assert shuffle_partitions(10**9) == 187
+    assert shuffle_partitions(10**12) == 40_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError), shuffle_width(spark, 10**9):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "187"
+        raise RuntimeError
+    with shuffle_width(spark, 10):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import epoch_seconds, floor_to, utc_stamp
-from tidemark.operators.skew import skewed_users
+from tidemark.operators.skew import at_least, busiest, user_event_counts
 from tidemark.schema import DATE, SESSION_ID
 
 # Fixed values.
@@ -78,22 +78,20 @@ def _labelled(events: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def hot_users(
-    events: DataFrame, hot_events: int = HOT_EVENTS, limit: int = HOT_USERS
+    user_counts: DataFrame, hot_events: int = HOT_EVENTS, limit: int = HOT_USERS
 ) -> DataFrame:
     """Users to keep out of per-user windows; never more than ``limit`` rows."""
-    return (
-        skewed_users(events.where(_identified()), hot_events)
-        .orderBy(F.desc("event_count"), USER)
-        .limit(limit)
-        .select(USER)
-    )
+    known = user_counts.where(F.col(USER).isNotNull())
+    return busiest(at_least(known, hot_events), limit).select(USER)
 
 
 def _by_heat(
-    events: DataFrame, hot_events: int, limit: int
+    events: DataFrame, user_counts: DataFrame | None, hot_events: int, limit: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Split events into those of ordinary users, of hot users, and of neither."""
-    hot = F.broadcast(hot_users(events, hot_events, limit))
+    if user_counts is None:
+        user_counts = user_event_counts(events)
+    hot = F.broadcast(hot_users(user_counts, hot_events, limit))
     known = events.where(_identified())
     return (
         known.join(hot, USER, "left_anti"),
@@ -144,15 +142,17 @@ def _label_by_cell(events: DataFrame, history: DataFrame, gap: int) -> DataFrame
 def sessionize(
     events: DataFrame,
     gap: int = SESSION_GAP,
+    user_counts: DataFrame | None = None,
     hot_events: int = HOT_EVENTS,
-    hot_users: int = HOT_USERS,
+    hot_limit: int = HOT_USERS,
 ) -> DataFrame:
     """Add the session ID to every event.
 
-    An event without a user or a time is kept, with a NULL ID. The limits only
-    choose how a user's sessions are found, never what they are.
+    An event without a user or a time is kept, with a NULL ID. Pass
+    ``user_counts`` if the events per user are known already. It and the limits
+    only choose how a user's sessions are found, never what they are.
     """
-    ordinary, hot, unidentified = _by_heat(events, hot_events, hot_users)
+    ordinary, hot, unidentified = _by_heat(events, user_counts, hot_events, hot_limit)
     return (
         _label_by_window(ordinary, gap)
         .unionByName(_label_by_cell(hot, hot, gap))
@@ -175,8 +175,9 @@ def sessionize_within(
 def gap_seconds(
     events: DataFrame,
     order: Sequence[str] = EVENT_ORDER,
+    user_counts: DataFrame | None = None,
     hot_events: int = HOT_EVENTS,
-    hot_users: int = HOT_USERS,
+    hot_limit: int = HOT_USERS,
 ) -> DataFrame:
     """Add ``gap_seconds``: whole seconds since the user's previous event.
 
@@ -187,7 +188,7 @@ def gap_seconds(
     that are equal in all of ``order`` share the value; end ``order`` with a
     unique column to tell such copies apart.
     """
-    ordinary, hot, unidentified = _by_heat(events, hot_events, hot_users)
+    ordinary, hot, unidentified = _by_heat(events, user_counts, hot_events, hot_limit)
     by_order = Window.partitionBy(USER).orderBy(*order)
     by_window = ordinary.withColumn("second", _second()).withColumn(
         "gap_seconds", F.col("second") - F.lag("second").over(by_order)

@@ -15,18 +15,25 @@ def user_event_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(F.count("*").alias("event_count"))
 
 
+def busiest(user_counts: DataFrame, n: int = TOP_USERS) -> DataFrame:
+    """The ``n`` largest of the counts; equal ones in order of the user ID."""
+    return user_counts.orderBy(
+        F.desc("event_count"), F.asc_nulls_first("user_id")
+    ).limit(n)
+
+
+def at_least(user_counts: DataFrame, threshold: int = SKEW_THRESHOLD) -> DataFrame:
+    return user_counts.where(F.col("event_count") >= threshold)
+
+
 def top_users(events: DataFrame, n: int = TOP_USERS) -> DataFrame:
-    """The ``n`` busiest users; equal counts in order of the user ID."""
-    return (
-        user_event_counts(events)
-        .orderBy(F.desc("event_count"), F.asc_nulls_first("user_id"))
-        .limit(n)
-    )
+    """The ``n`` busiest users."""
+    return busiest(user_event_counts(events), n)
 
 
 def skewed_users(events: DataFrame, threshold: int = SKEW_THRESHOLD) -> DataFrame:
     """Users with ``threshold`` events or more."""
-    return user_event_counts(events).where(F.col("event_count") >= threshold)
+    return at_least(user_event_counts(events), threshold)
 
 
 def skewed_user_count(events: DataFrame, threshold: int = SKEW_THRESHOLD) -> DataFrame:

@@ -10,15 +10,16 @@ from datetime import datetime, timezone
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions.clock import LOCAL_ZONE
 from tidemark.operators import ledger
 from tidemark.operators.calendar import date_range, with_local_date
 from tidemark.operators.metrics import daily_counts
 from tidemark.operators.sessions import SESSION_GAP, sessionize, sessionize_within
-from tidemark.operators.skew import SKEW_THRESHOLD, skewed_user_count, top_users
+from tidemark.operators.skew import SKEW_THRESHOLD, at_least, busiest, user_event_counts
 from tidemark.schema import DATE
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, shuffle_width
 from tidemark.sources import catalog, publish
 from tidemark.sources.ledger_store import LedgerStore
 from tidemark.sources.raw import read_raw_csv
@@ -119,21 +120,14 @@ def run(
     try:
         raw = with_local_date(read_raw_csv(spark, input_dir), zone)
         staged = stage_rows(spark, raw, folder, run_id)
-        top = top_users(staged).collect()
-        skewed = skewed_user_count(staged, skew_threshold).first()[0]
-        if skewed:
-            log.warning("%d users have %d events or more", skewed, skew_threshold)
-
-        rows, dated_rows = staged.agg(F.count("*"), F.count(DATE)).first()
-        undated_path = f"{folder}/undated/{run_id}" if rows > dated_rows else None
-        if undated_path:
-            staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(undated_path)
-            log.warning("%d rows without a time are in %s", rows - dated_rows, undated_path)
-
-        dated = date_range(staged.where(F.col(DATE).isNotNull()), start_date, end_date)
+        daily = daily_counts(staged).collect()  # one row per date
+        rows = sum(row["record_count"] for row in daily)
+        targets = spark.createDataFrame(
+            [row for row in daily if row[DATE] is not None], f"{DATE} string, record_count bigint"
+        )
         plan = (
             ledger.plan(
-                daily_counts(dated),
+                date_range(targets, start_date, end_date),
                 store.current(spark),
                 publish.published_counts(spark, output),
                 detect_growth,
@@ -141,22 +135,50 @@ def run(
             .orderBy(DATE)
             .collect()
         )
-        summary = RunSummary(run_id, plan, top, skewed, rows - dated_rows, undated_path)
-        todo = [row for row in plan if row["action"] != ledger.SKIP]
-        if todo:
-            labelled = _label(staged, todo, gap, dated_rows)
-            _publish(spark, labelled, todo, summary, output, store, table)
-        else:
-            log.warning("nothing to do in %s", input_dir)
-        catalog.register_dates(spark, [row[DATE] for row in plan], output, table)
-        if todo and analyze:
-            catalog.analyze_once(spark, table)
+        undated_path = f"{folder}/undated/{run_id}"
+        undated_rows = _set_aside_undated(staged, daily, undated_path)
+
+        with shuffle_width(spark, rows):
+            # Read three times: for the busiest, the skewed and the hot users.
+            user_counts = user_event_counts(staged).persist(StorageLevel.MEMORY_AND_DISK)
+            summary = RunSummary(
+                run_id=run_id,
+                plan=plan,
+                top_users=busiest(user_counts).collect(),
+                skewed_users=at_least(user_counts, skew_threshold).count(),
+                undated_rows=undated_rows,
+                undated_path=undated_path if undated_rows else None,
+            )
+            if summary.skewed_users:
+                log.warning(
+                    "%d users have %d events or more", summary.skewed_users, skew_threshold
+                )
+            catalog.register_dates(spark, summary.dates(ledger.SKIP), output, table)
+            todo = [row for row in plan if row["action"] != ledger.SKIP]
+            if todo:
+                labelled = _label(staged, todo, gap, rows, user_counts)
+                _publish(spark, labelled, todo, summary, output, store, table)
+                if analyze:
+                    catalog.analyze_once(spark, table)
+            else:
+                log.warning("nothing to do in %s", input_dir)
+            user_counts.unpersist()
     finally:
         drop_stage(spark, run_id)
     return summary
 
 
-def _label(staged: DataFrame, todo: list[Row], gap: int, input_rows: int) -> DataFrame:
+def _set_aside_undated(staged: DataFrame, daily: list[Row], path: str) -> int:
+    rows = sum(row["record_count"] for row in daily if row[DATE] is None)
+    if rows:
+        staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(path)
+        log.warning("%d rows without a time are in %s", rows, path)
+    return rows
+
+
+def _label(
+    staged: DataFrame, todo: list[Row], gap: int, input_rows: int, user_counts: DataFrame
+) -> DataFrame:
     """Sessionize the rows of the dates in ``todo`` within the whole input.
 
     If they are most of the input, all of it is labelled with one shuffle.
@@ -164,7 +186,7 @@ def _label(staged: DataFrame, todo: list[Row], gap: int, input_rows: int) -> Dat
     """
     wanted = F.col(DATE).isin([row[DATE] for row in todo])
     if 2 * sum(row["source_count"] for row in todo) > input_rows:
-        return sessionize(staged, gap).where(wanted)
+        return sessionize(staged, gap, user_counts).where(wanted)
     return sessionize_within(staged.where(wanted), staged, gap)
 
 

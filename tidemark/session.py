@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,22 +18,44 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Above 2,000 shuffle partitions a map task reports only the average of its
+    # block sizes. This makes it report blocks five times the median exactly,
+    # or adaptive execution could not see a hot key.
+    "spark.shuffle.accurateBlockSkewedFactor": "5.0",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+# A shuffled event takes about 100 bytes. The upper limit keeps the shuffle's
+# bookkeeping on the driver in bounds; beyond it partitions grow and spill.
+SHUFFLED_ROW_BYTES = 100
+SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 40_000
 
 
-def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Starting shuffle width: about 256 MB each, never below the core count.
+def shuffle_partitions(rows: int) -> int:
+    """Width for a full-row shuffle of so many events."""
+    wanted = -(-rows * SHUFFLED_ROW_BYTES // SHUFFLE_PARTITION_BYTES)
+    return min(max(wanted, 1), MOST_SHUFFLE_PARTITIONS)
 
-    Adaptive execution merges what turns out small, so the figure only has to
-    be large enough for the full-row shuffles.
+
+@contextmanager
+def shuffle_width(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Make the session's shuffles wide enough for ``rows`` events meanwhile.
+
+    Never narrower than the session asks for. Adaptive execution merges what
+    turns out small.
     """
-    return max(cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), shuffle_partitions(rows))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def build_session(
