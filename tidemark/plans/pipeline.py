@@ -141,28 +141,28 @@ def run(
         with shuffle_width(spark, rows):
             # Read three times: for the busiest, the skewed and the hot users.
             user_counts = user_event_counts(staged).persist(StorageLevel.MEMORY_AND_DISK)
-            summary = RunSummary(
-                run_id=run_id,
-                plan=plan,
-                top_users=busiest(user_counts).collect(),
-                skewed_users=at_least(user_counts, skew_threshold).count(),
-                undated_rows=undated_rows,
-                undated_path=undated_path if undated_rows else None,
-            )
-            if summary.skewed_users:
-                log.warning(
-                    "%d users have %d events or more", summary.skewed_users, skew_threshold
+            try:
+                summary = RunSummary(
+                    run_id=run_id,
+                    plan=plan,
+                    top_users=busiest(user_counts).collect(),
+                    skewed_users=at_least(user_counts, skew_threshold).count(),
+                    undated_rows=undated_rows,
+                    undated_path=undated_path if undated_rows else None,
                 )
-            catalog.register_dates(spark, summary.dates(ledger.SKIP), output, table)
-            todo = [row for row in plan if row["action"] != ledger.SKIP]
-            if todo:
-                labelled = _label(staged, todo, gap, rows, user_counts)
-                _publish(spark, labelled, todo, summary, output, store, table)
-                if analyze:
-                    catalog.analyze_once(spark, table)
-            else:
-                log.warning("nothing to do in %s", input_dir)
-            user_counts.unpersist()
+                if summary.skewed_users:
+                    log.warning("%d users have %d events or more", summary.skewed_users, skew_threshold)
+                catalog.register_dates(spark, summary.dates(ledger.SKIP), output, table)
+                todo = [row for row in plan if row["action"] != ledger.SKIP]
+                if todo:
+                    labelled = _label(staged, todo, gap, rows, user_counts)
+                    _publish(spark, labelled, todo, summary, output, store, table)
+                    if analyze:
+                        catalog.analyze_once(spark, table)
+                else:
+                    log.warning("nothing to do in %s", input_dir)
+            finally:
+                user_counts.unpersist()
     finally:
         drop_stage(spark, run_id)
     return summary

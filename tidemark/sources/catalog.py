@@ -13,9 +13,8 @@ from tidemark.schema import DATE, EVENTS
 
 log = logging.getLogger(__name__)
 
-# Fixed values.
+# Fixed value: the name existing queries use.
 TABLE = "ecommerce.events"
-DATABASE_COMMENT = "eCommerce behavior event data"
 
 DATES_PER_STATEMENT = 200
 
@@ -29,9 +28,7 @@ def ensure_table(spark: SparkSession, location: str, table: str = TABLE) -> None
     """Create database and external table over ``location`` unless they exist."""
     database = table.rpartition(".")[0]
     if database:
-        spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {database} COMMENT {quoted(DATABASE_COMMENT)}"
-        )
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENTS.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET"
