@@ -152,12 +152,16 @@ def test_catalog(spark, published):
             "dt=2024-01-01", "dt=2024-01-03"
         ]
         assert catalog.read_table(spark, table).count() == 4
+        assert catalog.analyze_dates(spark, ["2024-01-01"], table)
+        described = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION (dt='2024-01-01')").collect()
+        assert any(r[0] == "Partition Statistics" and "2 rows" in r[1] for r in described)
         assert catalog.analyze_once(spark, table)
         stats = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {table} user_id").collect()}
         assert stats["distinct_count"] == "2"
         spark.sql(f"DROP TABLE {table}")
         assert publish.read_events(spark, published).count() == 6  # files are not the table's
         assert not catalog.analyze_once(spark, table)  # best effort
+        assert not catalog.analyze_dates(spark, ["2024-01-01"], table)
     finally:
         spark.sql("DROP DATABASE IF EXISTS activity_test CASCADE")
 

@@ -91,7 +91,9 @@ def _by_heat(
     """Split events into those of ordinary users, of hot users, and of neither."""
     if user_counts is None:
         user_counts = user_event_counts(events)
-    hot = F.broadcast(hot_users(user_counts, hot_events, limit))
+    # One partition behind a shuffle of its own: the list is complete before the
+    # time limit of the broadcast starts, however long the counting takes.
+    hot = F.broadcast(hot_users(user_counts, hot_events, limit).repartition(1))
     known = events.where(_identified())
     return (
         known.join(hot, USER, "left_anti"),

@@ -157,8 +157,10 @@ def run(
                 if todo:
                     labelled = _label(staged, todo, gap, rows, user_counts)
                     _publish(spark, labelled, todo, summary, output, store, table)
-                    if analyze:
+                    if analyze and _is_most(todo, rows):
                         catalog.analyze_once(spark, table)
+                    elif analyze:
+                        catalog.analyze_dates(spark, [row[DATE] for row in todo], table)
                 else:
                     log.warning("nothing to do in %s", input_dir)
             finally:
@@ -176,8 +178,13 @@ def _set_aside_undated(staged: DataFrame, daily: list[Row], path: str) -> int:
     return rows
 
 
+def _is_most(todo: list[Row], rows: int) -> bool:
+    """Whether the dates in ``todo`` hold more than half of the input."""
+    return 2 * sum(row["source_count"] for row in todo) > rows
+
+
 def _label(
-    staged: DataFrame, todo: list[Row], gap: int, input_rows: int, user_counts: DataFrame
+    staged: DataFrame, todo: list[Row], gap: int, rows: int, user_counts: DataFrame
 ) -> DataFrame:
     """Sessionize the rows of the dates in ``todo`` within the whole input.
 
@@ -185,7 +192,7 @@ def _label(
     Otherwise only they are shuffled in full, and the rest by two columns.
     """
     wanted = F.col(DATE).isin([row[DATE] for row in todo])
-    if 2 * sum(row["source_count"] for row in todo) > input_rows:
+    if _is_most(todo, rows):
         return sessionize(staged, gap, user_counts).where(wanted)
     return sessionize_within(staged.where(wanted), staged, gap)
 

@@ -56,18 +56,29 @@ def read_table(spark: SparkSession, table: str = TABLE) -> DataFrame:
     return spark.table(table)
 
 
-def analyze_once(spark: SparkSession, table: str = TABLE) -> bool:
-    """Column statistics of the whole table, for the optimizer; best effort.
-
-    Spark keeps column statistics per table, not per partition, and scans the
-    table for them, so this runs once after all dates are written.
-    """
+def _analyze(spark: SparkSession, table: str, rest: str) -> bool:
     try:
-        spark.sql(
-            f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS "
-            + ", ".join(STATISTICS_COLUMNS)
-        )
+        spark.sql(f"ANALYZE TABLE {table} {rest}")
     except PySparkException as error:
         log.warning("no statistics for %s: %s", table, error)
         return False
     return True
+
+
+def analyze_once(spark: SparkSession, table: str = TABLE) -> bool:
+    """Column statistics of the whole table, for the optimizer; best effort.
+
+    Spark keeps column statistics per table, not per partition, and scans the
+    table for them, so this is for after a load of many dates.
+    """
+    columns = ", ".join(STATISTICS_COLUMNS)
+    return _analyze(spark, table, f"COMPUTE STATISTICS FOR COLUMNS {columns}")
+
+
+def analyze_dates(spark: SparkSession, dates: Iterable[str], table: str = TABLE) -> bool:
+    """Row count and size of single dates; reads only those. Best effort."""
+    done = [
+        _analyze(spark, table, f"PARTITION ({DATE}={quoted(date)}) COMPUTE STATISTICS")
+        for date in sorted(set(dates))
+    ]
+    return all(done)
