@@ -89,16 +89,38 @@ def published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.published_counts(spark, _published(spark, sf_dir, "published_counts"))
 
 
-def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _published(spark, sf_dir, "catalog_table")
+def _registered(spark: SparkSession, sf_dir: str, name: str, gap: int = GAP_5M) -> str:
+    """Publish, put all dates into the catalog, and return the table's name."""
+    path = _published(spark, sf_dir, name, gap)
     table = "default.t_" + path.rpartition("-")[2]
     catalog.ensure_table(spark, path, table)
     dates = publish.published_counts(spark, path).select("dt").collect()  # one per day
     catalog.register_dates(spark, [row.dt for row in dates], path, table)
     catalog.analyze_once(spark, table)
+    return table
+
+
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _registered(spark, sf_dir, "catalog_table")
     return _with_micros(catalog.read_table(spark, table), "generated_session_id", "dt")
 
 
+def wau_sql_on_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly query as a user types it."""
+    table = _registered(spark, sf_dir, "wau_sql_on_table", GAP_12H)
+    return spark.sql(
+        f"""
+        SELECT CAST(monday AS STRING) AS week_start,
+               count(DISTINCT user_id) AS wau_by_user,
+               count(DISTINCT generated_session_id) AS wau_by_session,
+               if(monday < DATE '{WEEK_LOW}' OR date_add(monday, 6) > DATE '{WEEK_HIGH}',
+                  'PARTIAL', 'FULL') AS week_type
+        FROM (SELECT *, CAST(date_trunc('WEEK', CAST(dt AS DATE)) AS DATE) AS monday FROM {table})
+        GROUP BY monday ORDER BY monday
+        """
+    )
+
+
 def wau_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _published(spark, sf_dir, "wau_published", GAP_12H)
     return _week_as_text(metrics.wau(publish.read_events(spark, path), WEEK_LOW, WEEK_HIGH))
@@ -386,6 +408,7 @@ _QUERIES = (
     published_counts,
     catalog_table,
     wau_published,
+    wau_sql_on_table,
     session_ids,
     session_ids_gap12h,
     session_ids_hot_users,
@@ -520,6 +543,7 @@ def oracle_sql() -> dict[str, str]:
         "published_counts": _DAILY + counts,
         "catalog_table": five + published,
         "wau_published": _wau_sql(GAP_12H),
+        "wau_sql_on_table": _wau_sql(GAP_12H),
         "session_ids": five + published,
         "session_ids_gap12h": half_day + published,
         "session_ids_hot_users": half_day + published,

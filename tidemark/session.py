@@ -78,10 +78,11 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` names it. A temporary folder of this machine is
     used only where the setting is absent, as in local tests.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 
