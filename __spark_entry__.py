@@ -441,10 +441,26 @@ _QUERIES = (
 )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+try:  # the text operators and their pipeline are an optional part
+    import corpus_pipeline
+    from tidemark.llm import queries as text_queries
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "tidemark.llm"):
+        raise
+    text_queries = None
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries over the ``events`` table."""
     return {query.__name__: query for query in _QUERIES}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if text_queries is None:
+        return core_queries()
+    return {**core_queries(), **text_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
 # --- the same in SQL ---------------------------------------------------------
 
 _EVENT = (
@@ -529,6 +545,13 @@ FROM daily d LEFT JOIN state s ON s.dt = d.dt"""
 
 
 def oracle_sql() -> dict[str, str]:
+    if text_queries is None:
+        return core_sql()
+    more = {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**core_sql(), **text_queries.oracle_sql(), **{k: v for k, v in more.items() if v}}
+
+
+def core_sql() -> dict[str, str]:
     five, half_day = _sessions_sql(GAP_5M), _sessions_sql(GAP_12H)
     with_raw = f"WITH {_RAW}\n"
     published = f"SELECT {_EVENT}, generated_session_id, dt FROM sessionized"

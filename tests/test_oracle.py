@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest test folder."""
+"""Every query over events against its SQL, on the smallest test folder."""
 
 from __future__ import annotations
 
@@ -19,18 +19,18 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.core_queries().keys() == contract.core_sql().keys()
 
 
 def in_order(rows):
     return sorted(rows, key=lambda row: [(v is not None, v) for v in row])
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.core_queries())
 def test_query_equals_sql(spark, database, name):
-    frame = contract.queries()[name](spark, FOLDER)
+    frame = contract.core_queries()[name](spark, FOLDER)
     columns = sorted(frame.columns)
-    cursor = database.execute(contract.oracle_sql()[name])
+    cursor = database.execute(contract.core_sql()[name])
     names = [d[0] for d in cursor.description]
     kinds = dict(zip(names, [str(d[1]) for d in cursor.description]))
     assert sorted(names) == columns
