@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, simhash
+from tidemark.llm import decontaminate, exact_dedup, pieces, quality, simhash
 from tidemark.session import scratch_path
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of low quality and toxic ones go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest id stays."""
     return exact_dedup.drop_exact_copies(docs)
@@ -18,9 +24,31 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one_of_group(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, items)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_pieces, ids, intact``: whether the ids decode to the text."""
+    decoded = pieces.decode(
+        pieces.encode(docs).withColumn("pieces", F.col("ids")), ("pieces", "text_sha256")
+    )
+    return decoded.select(
+        "doc_id",
+        F.size("pieces").alias("n_pieces"),
+        F.col("pieces").alias("ids"),
+        (F.sha2("text", 256) == F.col("text_sha256")).alias("intact"),
+    )
+
+
 STAGES = [
+    ("quality", drop_low_quality),
     ("exact dedup", drop_copies),
     ("SimHash near-dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("SentencePiece", tokenize),
 ]
 
 # Near-duplicate groups and tokenizing cannot be said in SQL; the stages are

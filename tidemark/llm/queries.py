@@ -11,13 +11,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, simhash
+from tidemark.llm import decontaminate, exact_dedup, pieces, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(_table(spark, sf_dir, "documents")).select(
+        "*",
+        F.size("ids").alias("n_pieces"),
+        F.sha2(F.concat_ws(" ", F.transform("ids", lambda i: i.cast("string"))), 256).alias("ids_sha256"),
+    )
+    decoded = pieces.decode(encoded, ("n_pieces", "ids_sha256", "chunks", "text_sha256"))
+    return decoded.select(
+        "doc_id",
+        "n_pieces",
+        "ids_sha256",
+        "chunks",
+        (F.sha2("text", 256) == F.col("text_sha256")).alias("intact"),
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.classify(docs, labels).withColumn("kept", ~F.col("rejected"))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -31,9 +52,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items)
+
+
 _QUERIES = (
+    op2_sentencepiece,
+    op3_quality,
     op4_simhash_dedup,
     op7_exact_dedup,
+    op10_decontamination,
 )
 
 
