@@ -444,8 +444,10 @@ _QUERIES = (
 try:  # the text operators and their pipeline are an optional part
     import corpus_pipeline
     from tidemark.llm import queries as text_queries
-except ModuleNotFoundError as absent:
-    if absent.name not in ("corpus_pipeline", "tidemark.llm"):
+except ImportError:
+    _HERE = os.path.dirname(os.path.abspath(__file__))
+    _PARTS = ("corpus_pipeline.py", os.path.join("tidemark", "llm", "__init__.py"))
+    if all(os.path.exists(os.path.join(_HERE, part)) for part in _PARTS):
         raise
     text_queries = None
 
