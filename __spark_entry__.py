@@ -92,7 +92,7 @@ def published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _registered(spark: SparkSession, sf_dir: str, name: str, gap: int = GAP_5M) -> str:
     """Publish, put all dates into the catalog, and return the table's name."""
     path = _published(spark, sf_dir, name, gap)
-    table = "default.t_" + path.rpartition("-")[2]
+    table = _scratch_table(path)
     catalog.ensure_table(spark, path, table)
     dates = publish.published_counts(spark, path).select("dt").collect()  # one per day
     catalog.register_dates(spark, [row.dt for row in dates], path, table)
@@ -100,6 +100,15 @@ def _registered(spark: SparkSession, sf_dir: str, name: str, gap: int = GAP_5M)
     return table
 
 
+# All tables of these queries lie in one database, which one statement drops:
+# DROP DATABASE tidemark_scratch CASCADE.
+SCRATCH = "tidemark_scratch"
+
+
+def _scratch_table(path: str) -> str:
+    return f"{SCRATCH}.t_" + path.rpartition("-")[2]
+
+
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _registered(spark, sf_dir, "catalog_table")
     return _with_micros(catalog.read_table(spark, table), "generated_session_id", "dt")
@@ -273,16 +282,23 @@ def _dates_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.daily_counts(_dated(spark, sf_dir)).withColumn("rule", F.pmod(day, F.lit(6)))
 
 
-def _seed_begin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    started = _dates_by_rule(spark, sf_dir).where("rule <> 0")
+def _counted_once(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The dates by rule as a table, for queries that use them several times."""
+    path = scratch_path(spark, f"{name}-dates")
+    dates = _dates_by_rule(spark, sf_dir)
+    dates.coalesce(1).write.parquet(path)  # one row per date
+    return spark.read.schema(dates.schema).parquet(path)
+
+
+def _seed_begin(by_rule: DataFrame) -> DataFrame:
+    started = by_rule.where("rule <> 0")
     dates = started.select(F.col("dt").alias("partition_date"))
     return ledger.begin(dates, SEED_RUN, SEED_START, 1)
 
 
-def _seed_succeed(spark: SparkSession, sf_dir: str, state: DataFrame) -> DataFrame:
+def _seed_succeed(by_rule: DataFrame, state: DataFrame) -> DataFrame:
     counts = (
-        _dates_by_rule(spark, sf_dir)
-        .where(F.col("rule").isin(1, 2, 5))
+        by_rule.where(F.col("rule").isin(1, 2, 5))
         .select(
             F.col("dt").alias("partition_date"),
             (F.col("record_count") - F.when(F.col("rule") == 2, 1).otherwise(0)).alias("record_count"),
@@ -291,10 +307,9 @@ def _seed_succeed(spark: SparkSession, sf_dir: str, state: DataFrame) -> DataFra
     return ledger.succeed(state, counts, SEED_END, 2)
 
 
-def _seed_fail(spark: SparkSession, sf_dir: str, state: DataFrame) -> DataFrame:
+def _seed_fail(by_rule: DataFrame, state: DataFrame) -> DataFrame:
     errors = (
-        _dates_by_rule(spark, sf_dir)
-        .where("rule in (0, 4)")  # dates never started are left out by ``fail``
+        by_rule.where("rule in (0, 4)")  # dates never started are left out by ``fail``
         .select(
             F.col("dt").alias("partition_date"),
             F.repeat(F.lit(SEED_ERROR), SEED_ERROR_COPIES).alias("error_message"),
@@ -303,12 +318,12 @@ def _seed_fail(spark: SparkSession, sf_dir: str, state: DataFrame) -> DataFrame:
     return ledger.fail(state, errors, SEED_END, 3)
 
 
-def _seeded_store(spark: SparkSession, sf_dir: str, name: str) -> LedgerStore:
+def _seeded_store(spark: SparkSession, by_rule: DataFrame, name: str) -> LedgerStore:
     store = LedgerStore.at(scratch_path(spark, name))
     store.create(spark)
-    store.append(_seed_begin(spark, sf_dir))
-    store.append(_seed_succeed(spark, sf_dir, store.current(spark)))
-    store.append(_seed_fail(spark, sf_dir, store.current(spark)))
+    store.append(_seed_begin(by_rule))
+    store.append(_seed_succeed(by_rule, store.current(spark)))
+    store.append(_seed_fail(by_rule, store.current(spark)))
     return store
 
 
@@ -326,32 +341,33 @@ def _ledger_rows(rows: DataFrame) -> DataFrame:
 
 
 def ledger_begin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ledger_rows(_seed_begin(spark, sf_dir)).drop("end_us", "record_count", "error_message")
+    begun = _seed_begin(_dates_by_rule(spark, sf_dir))
+    return _ledger_rows(begun).drop("end_us", "record_count", "error_message")
 
 
 def ledger_succeed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = ledger.current(_seed_begin(spark, sf_dir))
-    return _ledger_rows(_seed_succeed(spark, sf_dir, state)).drop("error_message")
+    by_rule = _counted_once(spark, sf_dir, "ledger_succeed")
+    state = ledger.current(_seed_begin(by_rule))
+    return _ledger_rows(_seed_succeed(by_rule, state)).drop("error_message")
 
 
 def ledger_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = ledger.current(_seed_begin(spark, sf_dir))
-    return _ledger_rows(_seed_fail(spark, sf_dir, state)).drop("record_count")
+    by_rule = _counted_once(spark, sf_dir, "ledger_fail")
+    state = ledger.current(_seed_begin(by_rule))
+    return _ledger_rows(_seed_fail(by_rule, state)).drop("record_count")
 
 
 def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ledger_rows(_seeded_store(spark, sf_dir, "ledger_current").current(spark))
-
-
-def _seed_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dates_by_rule(spark, sf_dir).where("rule <> 5").drop("rule")
+    by_rule = _counted_once(spark, sf_dir, "ledger_current")
+    return _ledger_rows(_seeded_store(spark, by_rule, "ledger_current").current(spark))
 
 
 def _plan(spark: SparkSession, sf_dir: str, name: str, detect_growth: bool) -> DataFrame:
+    by_rule = _counted_once(spark, sf_dir, name)
     return ledger.plan(
-        metrics.daily_counts(_dated(spark, sf_dir)),
-        _seeded_store(spark, sf_dir, name).current(spark),
-        _seed_published(spark, sf_dir),
+        by_rule.drop("rule"),
+        _seeded_store(spark, by_rule, name).current(spark),
+        by_rule.where("rule <> 5").drop("rule"),
         detect_growth,
     ).select("dt", "source_count", "status", "recorded_count", "published_count", "action")
 
@@ -375,7 +391,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         input_dir=source,
         output_dir=f"{source}-out",
         store=LedgerStore.at(f"{source}-ledger"),
-        table="default.t_" + source.rpartition("-")[2],
+        table=_scratch_table(source),
     )
     return _with_micros(publish.read_events(spark, f"{source}-out"), "generated_session_id", "dt")
 
@@ -383,20 +399,104 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over the derived ledger and its output; every change it logged."""
     source = _csv_copy(spark, sf_dir, "batch_rerun")
-    store = _seeded_store(spark, sf_dir, "batch_rerun_ledger")
+    by_rule = _counted_once(spark, sf_dir, "batch_rerun")
+    store = _seeded_store(spark, by_rule, "batch_rerun_ledger")
     day = F.substring("dt", 9, 2).cast("int")
-    earlier = _sessionized(spark, sf_dir).where(F.pmod(day, F.lit(6)) != 5)
+    # From the files, whose times are whole seconds: published rows are theirs.
+    earlier = weekly.sessionized_events(raw.read_raw_csv(spark, source))
+    earlier = earlier.where(F.pmod(day, F.lit(6)) != 5)
     publish.write_dates(earlier, f"{source}-out")
     pipeline.run(
         spark,
         input_dir=source,
         output_dir=f"{source}-out",
         store=store,
-        table="default.t_" + source.rpartition("-")[2],
+        table=_scratch_table(source),
     )
     return store.log(spark).select("partition_date", "status", "record_count", "error_message")
 
 
+def _second_run(
+    spark: SparkSession, name: str, first: DataFrame, second: DataFrame, gap: int = GAP_5M
+) -> tuple[pipeline.RunSummary, str]:
+    """Two runs of the job into one table, from two folders of CSV files."""
+    root = scratch_path(spark, name)
+    store = LedgerStore.at(f"{root}-ledger")
+    for turn, events in enumerate((first, second)):
+        raw.write_raw_csv(events, f"{root}-in{turn}")
+        summary = pipeline.run(
+            spark,
+            input_dir=f"{root}-in{turn}",
+            output_dir=f"{root}-out",
+            store=store,
+            table=_scratch_table(root),
+            gap=gap,
+        )
+    return summary, f"{root}-out"
+
+
+def batch_rerun_part_of_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First the events up to the 15th, then a folder that begins within the
+    15th and ends within the 20th, with two rows more of the 14th: no published
+    row is lost, and the second folder's other dates are built."""
+    dated = _dated(spark, sf_dir)
+    day, hour = F.substring("dt", 9, 2).cast("int"), F.hour("event_time")
+    first = dated.where(day <= 15)
+    second = dated.where((day > 15) & (day <= 20) | (day == 15) & (hour >= 5))
+    more = dated.where(day == 14)
+    twice = more.unionByName(more.where("product_id % 7 = 0")).where("product_id % 3 > 0")
+    _, output = _second_run(spark, "batch_rerun_part", first, second.unionByName(twice))
+    return publish.published_counts(spark, output)
+
+
+def _late_events(spark: SparkSession, sf_dir: str, name: str, gap: int) -> DataFrame:
+    """First all events but every tenth, then all of them."""
+    events = _events(spark, sf_dir)
+    _, output = _second_run(spark, name, events.where("product_id % 10 <> 3"), events, gap)
+    return _with_micros(publish.read_events(spark, output), "generated_session_id", "dt")
+
+
+def batch_rerun_late_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_events(spark, sf_dir, "batch_rerun_late", GAP_5M)
+
+
+def batch_rerun_late_event_gap12h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late events of one date only, which rename sessions on later dates."""
+    dated = _dated(spark, sf_dir)
+    early = dated.where(~((F.col("dt") == SLICE_DATE) & (F.col("product_id") % 2 == 1)))
+    _, output = _second_run(spark, "batch_rerun_late12", early, dated, GAP_12H)
+    return _with_micros(publish.read_events(spark, output), "generated_session_id", "dt")
+
+
+def batch_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs recorded about the dates they built, each once."""
+    dated = _dated(spark, sf_dir)
+    first = dated.where(F.col("dt") <= SLICE_DATE)
+    _, output = _second_run(spark, "batch_statistics", first, dated, GAP_5M)
+    return spark.read.parquet(f"{output}-statistics").drop("run_id")
+
+
+def _with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth event three times."""
+    events = _events(spark, sf_dir)
+    tenth = events.where("product_id % 10 = 3")
+    return events.unionByName(tenth).unionByName(tenth)
+
+
+def _copied_flags(spark: SparkSession, sf_dir: str, hot_events: int) -> DataFrame:
+    found = sessions.gap_seconds(_with_copies(spark, sf_dir), hot_events=hot_events)
+    is_new = sessions.new_session_flag(F.col("gap_seconds"), GAP_5M)
+    return found.select("product_id", "user_id", "gap_seconds", is_new.alias("is_new_session"))
+
+
+def session_flags_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _copied_flags(spark, sf_dir, sessions.HOT_EVENTS)
+
+
+def session_flags_copies_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _copied_flags(spark, sf_dir, SKEWED_FROM)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Weekly active users and sessions of the smallest test folder."""
     return wau(spark, "/root/testdata/sf0.001")
@@ -438,6 +538,12 @@ _QUERIES = (
     ledger_plan_sizes_ignored,
     batch_run,
     batch_rerun,
+    batch_rerun_part_of_input,
+    batch_rerun_late_event,
+    batch_rerun_late_event_gap12h,
+    batch_statistics,
+    session_flags_copies,
+    session_flags_copies_hot,
 )
 
 
@@ -479,17 +585,23 @@ raw AS (
   FROM events)"""
 
 
-def _sessions_sql(gap: int) -> str:
-    return f"""WITH {_RAW},
+_COPIES = """
+copies AS (
+  SELECT * FROM raw UNION ALL
+  SELECT raw.* FROM raw, range(2) WHERE product_id % 10 = 3)"""
+
+
+def _sessions_sql(gap: int, source: str = "raw") -> str:
+    return f"""WITH {_RAW}, {_COPIES},
 gaps AS (
   SELECT *, sec - lag(sec) OVER (
     PARTITION BY user_id ORDER BY ts, event_type, product_id) AS gap_seconds
-  FROM raw),
+  FROM {source}),
 flags AS (
   SELECT *, gap_seconds IS NULL OR gap_seconds >= {gap} AS is_new_session FROM gaps),
 starts AS (
   SELECT *, last_value(CASE WHEN is_new_session THEN ts END IGNORE NULLS) OVER (
-    PARTITION BY user_id ORDER BY ts, event_type, product_id
+    PARTITION BY user_id ORDER BY ts, event_type, product_id, gap_seconds DESC
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_start
   FROM flags),
 sessionized AS (
@@ -546,6 +658,17 @@ SELECT d.dt, d.record_count AS source_count, s.status, s.recorded_count,
 FROM daily d LEFT JOIN state s ON s.dt = d.dt"""
 
 
+_STATISTICS = """SELECT dt, count(*) AS row_count,
+       count(DISTINCT user_id) AS user_id_distinct,
+       count(*) - count(user_id) AS user_id_nulls,
+       min(user_id) AS user_id_min, max(user_id) AS user_id_max,
+       count(DISTINCT event_type) AS event_type_distinct,
+       count(*) - count(event_type) AS event_type_nulls,
+       count(DISTINCT generated_session_id) AS generated_session_id_distinct,
+       count(*) - count(generated_session_id) AS generated_session_id_nulls
+FROM sessionized GROUP BY dt"""
+
+
 def oracle_sql() -> dict[str, str]:
     if text_queries is None:
         return core_sql()
@@ -600,15 +723,7 @@ SELECT CAST(monday AS VARCHAR) AS week_start,
 FROM weeks""",
         "daily_counts": _DAILY + counts,
         "partition_stats": half_day
-        + """SELECT dt, count(*) AS row_count,
-       count(DISTINCT user_id) AS user_id_distinct,
-       count(*) - count(user_id) AS user_id_nulls,
-       min(user_id) AS user_id_min, max(user_id) AS user_id_max,
-       count(DISTINCT event_type) AS event_type_distinct,
-       count(*) - count(event_type) AS event_type_nulls,
-       count(DISTINCT generated_session_id) AS generated_session_id_distinct,
-       count(*) - count(generated_session_id) AS generated_session_id_nulls
-FROM sessionized GROUP BY dt""",
+        + _STATISTICS,
         "user_event_counts": users,
         "top_users": users + " ORDER BY event_count DESC, user_id LIMIT 10",
         "skewed_users": users + f" HAVING count(*) >= {SKEWED_FROM}",
@@ -639,6 +754,14 @@ FROM state""",
         "ledger_plan_sizes_ignored": _plan_sql("SKIP"),
         "batch_run": five
         + f"SELECT {truncated}, generated_session_id, dt FROM sessionized",
+        "batch_rerun_part_of_input": _DAILY
+        + "SELECT dt, record_count FROM daily WHERE CAST(substr(dt, 9, 2) AS INTEGER) <= 20",
+        "batch_rerun_late_event": five + f"SELECT {truncated}, generated_session_id, dt FROM sessionized",
+        "batch_rerun_late_event_gap12h": half_day
+        + f"SELECT {truncated}, generated_session_id, dt FROM sessionized",
+        "batch_statistics": five + _STATISTICS,
+        "session_flags_copies": _sessions_sql(GAP_5M, "copies") + flags,
+        "session_flags_copies_hot": _sessions_sql(GAP_5M, "copies") + flags,
         "batch_rerun": _DAILY
         + f""", {_SEED_STATE}
 SELECT dt AS partition_date, 'IN_PROGRESS' AS status, CAST(NULL AS BIGINT) AS record_count,

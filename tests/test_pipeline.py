@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import uuid
 from pathlib import Path
 
@@ -102,14 +103,80 @@ def test_first_run(spark, job, caplog):
     assert [r["event_count"] for r in summary.top_users] == [2, 2, 2, 1]
     assert catalog.read_table(spark, job.table).count() == 6
     # the staged copy is gone
-    assert not list((job.root / "checkpoint").glob("*/events"))
+    assert not list((job.root / "checkpoint").glob("stages/*"))
+    stats = spark.read.parquet(f"{job.output}-statistics").orderBy("dt").collect()
+    assert [(r.dt, r.row_count, r.user_id_distinct, r.run_id) for r in stats] == [
+        ("2019-10-01", 1, 1, summary.run_id),
+        ("2019-10-02", 3, 2, summary.run_id),
+        ("2019-10-03", 2, 1, summary.run_id),
+    ]
 
 
 def test_second_run_skips_everything(job):
     job.run()
-    before = job.files()
+    def everything():
+        return sorted(p for p in job.root.rglob("*") if p.is_file())
+
+    before = everything()
     assert set(job.actions().values()) == {"SKIP"}
-    assert job.files() == before
+    assert everything() == before  # nothing staged, set aside, logged or published
+
+
+def test_counts_read_only_the_dates_asked_for(spark, job):
+    job.run()
+    counts = publish.published_counts(spark, job.output, ["2019-10-02"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*dt#\d+ = 2019-10-02", plan)
+    assert [tuple(r) for r in counts.collect()] == [("2019-10-02", 3)]
+
+
+PART_OF_DATE = [
+    ("fewer rows", [("2", "2019-10-02 01:00:00 UTC")]),
+    ("as many", [("9", f"2019-10-02 0{i}:00:00 UTC") for i in range(3)]),
+    ("more rows", [("9", f"2019-10-02 0{i}:00:00 UTC") for i in range(5)]),
+]
+
+
+@pytest.mark.parametrize("rows", [r for _, r in PART_OF_DATE], ids=[n for n, _ in PART_OF_DATE])
+def test_published_rows_are_never_replaced_by_an_input_without_them(job, rows):
+    job.run()
+    before, ids, states = job.files(), job.ids(), job.states()
+    (job.root / "in" / "oct.csv").unlink()
+    job.add("nov.csv", *rows, ("3", "2019-10-05 01:00:00 UTC"))
+    summary = job.run()
+    kept = [] if len(rows) == 3 else ["2019-10-02"]
+    assert summary.dates("KEEP_NOT_CONTAINED") == kept
+    assert summary.dates("BUILD") == ["2019-10-05"]
+    assert before <= job.files() and [i for i in job.ids() if i[0] < "2019-10-05"] == ids
+    assert {d: s for d, s in job.states().items() if d < "2019-10-05"} == states
+
+
+def test_not_contained_rows_are_replaced_if_asked(job):
+    job.run()
+    (job.root / "in" / "oct.csv").unlink()
+    job.add("nov.csv", ("2", "2019-10-02 01:00:00 UTC"))
+    assert job.actions(replace_not_contained=True) == {"2019-10-02": "REBUILD_GREW"}
+    assert [i for i in job.ids() if i[0] == "2019-10-02"] == [("2019-10-02", "2_20191002010000")]
+
+
+def test_late_event_renames_its_session_on_later_dates(job):
+    job.run()
+    job.add("late.csv", ("1", "2019-10-01 14:55:00 UTC"))
+    assert job.actions() == {
+        "2019-10-01": "REBUILD_GREW", "2019-10-02": "REBUILD_SESSION", "2019-10-03": "SKIP",
+    }
+    assert {i for _, i in job.ids() if i[:2] == "1_"} == {"1_20191001145500"}
+    assert set(job.actions().values()) == {"SKIP"}
+
+
+def test_late_event_reaches_over_many_dates(job):
+    job.add("long.csv", *[("7", f"2019-10-0{d} {h:02}:00:00 UTC") for d in (1, 2, 3, 4) for h in range(24)])
+    job.run(gap=3601)
+    job.add("late.csv", ("7", "2019-09-30 23:30:00 UTC"))
+    changed = job.run(gap=3601)
+    assert changed.dates("REBUILD_GREW") == ["2019-10-01"]
+    assert changed.dates("REBUILD_SESSION") == ["2019-10-02", "2019-10-03", "2019-10-04", "2019-10-05"]
+    assert {i for _, i in job.ids() if i[:2] == "7_"} == {"7_20190930233000"}
 
 
 def test_missing_date_alone_is_rebuilt(spark, job):
@@ -146,11 +213,13 @@ def test_unfinished_run_is_restarted(spark, job):
     job.store.create(spark)
     day = spark.createDataFrame([("2019-10-01",)], "partition_date string")
     job.store.append(ledger.begin(day, old, pipeline._now(), 1))
-    staged = spark.range(3)
-    pipeline.stage_rows(spark, staged, f"file://{job.root}/checkpoint", old)
-    assert list((job.root / "checkpoint" / old).glob("events/*"))
+    # Left by two drivers that were killed, one of them before the ledger knew.
+    for run in (old, str(uuid.uuid4())):
+        pipeline.stage_rows(spark, spark.range(3), f"file://{job.root}/checkpoint/stages/{job.table}", run)
+    assert len(list((job.root / "checkpoint" / "stages" / job.table).glob("*/*.parquet"))) >= 2
+    job.spark = spark.newSession()  # knows no table of the old one
     assert job.actions() == {**ALL, "2019-10-01": "REBUILD_STALE"}
-    assert not (job.root / "checkpoint" / old / "events").exists()
+    assert not (job.root / "checkpoint" / "stages" / job.table).exists()
     log = job.store.log(spark).where("partition_date = '2019-10-01'").orderBy("seq").collect()
     assert [(r.status, r.error_message) for r in log] == [
         ("IN_PROGRESS", None),
@@ -171,7 +240,7 @@ def test_failure_is_recorded_and_raised_and_then_repaired(spark, job, monkeypatc
     states = job.states()
     assert {s for s, *_ in states.values()} == {"FAILED"}
     assert {len(m) for *_, m in states.values()} == {1000}
-    assert not list((job.root / "checkpoint").glob("*/events"))
+    assert not list((job.root / "checkpoint").glob("stages/*"))
     assert set(job.actions().values()) == {"REBUILD_FAILED"}
     assert {s for s, *_ in job.states().values()} == {"SUCCESS"}
 

@@ -51,7 +51,7 @@ def local_date(time: Column, zone: str = LOCAL_ZONE) -> Column:
 
 def week_start(date: Column) -> Column:
     """Monday of the week that holds ``date`` (text or DATE), as DATE."""
-    return F.next_day(F.date_sub(F.to_date(date), 7), "MO")
+    return F.trunc(F.to_date(date), "week")
 
 
 def week_type(monday: Column, low: str, high: str) -> Column:

@@ -26,6 +26,10 @@ REBUILD_GREW = "REBUILD_GREW"
 REBUILD_MISSING = "REBUILD_MISSING"
 REBUILD_STALE = "REBUILD_STALE"
 REBUILD_FAILED = "REBUILD_FAILED"
+# Chosen by the job once it has looked at rows: a finished date whose sessions
+# changed with a neighbour, and a date whose output holds rows the input lacks.
+REBUILD_SESSION = "REBUILD_SESSION"
+KEEP_NOT_CONTAINED = "KEEP_NOT_CONTAINED"
 
 KEY = "partition_date"
 
@@ -119,7 +123,8 @@ def plan(
     ``targets`` has (dt, record_count) of the input, ``published`` the same of
     the output. A finished date is skipped while its output is there and its
     input still has the recorded size; without ``detect_growth`` the size is
-    not looked at.
+    not looked at. A different size is a reason to look at the rows, not yet to
+    replace them: the input may be a part of what is published.
     """
     done = F.col("status") == SUCCESS
     there = F.col("published_count").isNotNull()

@@ -25,12 +25,12 @@ def wau(
 ) -> DataFrame:
     """Distinct users and sessions per Monday week, exact, in one scan.
 
-    Rows are first reduced to distinct (week, user, session), so counting two
-    columns at once doubles that small set and not the events.
+    Every row becomes two ahead of the first shuffle, one per counted column,
+    and each of them is reduced to distinct values within the task.
     """
     weekly = published.select(
         week_start(F.col(DATE)).alias("week_start"), "user_id", SESSION_ID
-    ).distinct()
+    )
     return (
         weekly.groupBy("week_start")
         .agg(

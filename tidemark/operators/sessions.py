@@ -81,6 +81,8 @@ def hot_users(
     user_counts: DataFrame, hot_events: int = HOT_EVENTS, limit: int = HOT_USERS
 ) -> DataFrame:
     """Users to keep out of per-user windows; never more than ``limit`` rows."""
+    if not 0 < limit <= HOT_USERS:
+        raise ValueError(f"the list of hot users is broadcast: at most {HOT_USERS} fit")
     known = user_counts.where(F.col(USER).isNotNull())
     return busiest(at_least(known, hot_events), limit).select(USER)
 
@@ -184,29 +186,36 @@ def gap_seconds(
     """Add ``gap_seconds``: whole seconds since the user's previous event.
 
     NULL for a user's first event, and where the user or the time is missing.
-    Events are ordered by ``order`` within a user, NULLs first. For hot users
-    the window runs over their distinct seconds, and the first event of a
-    second looks its gap up; all others in it have none. Events of a hot user
-    that are equal in all of ``order`` share the value; end ``order`` with a
-    unique column to tell such copies apart.
+    Events are ordered by ``order``, which must begin with the time, within a
+    user, NULLs first; events equal in it by their other columns. Of exact
+    copies one carries the silence before them and the others have none, so the
+    rows are the same whichever way a user goes.
+
+    Hot users' copies are counted rather than listed; the window runs over
+    their distinct seconds, and the first event of a second looks its gap up.
     """
+    if not order or order[0] != TIME:
+        raise ValueError(f"the order must begin with {TIME}")
     ordinary, hot, unidentified = _by_heat(events, user_counts, hot_events, hot_limit)
-    by_order = Window.partitionBy(USER).orderBy(*order)
+    whole_order = [*order, *[c for c in events.columns if c not in order and c != USER]]
+    by_order = Window.partitionBy(USER).orderBy(*whole_order)
     by_window = ordinary.withColumn("second", _second()).withColumn(
         "gap_seconds", F.col("second") - F.lag("second").over(by_order)
     )
 
-    key = F.struct(*order)
+    key = F.struct(*whole_order)
     by_second = Window.partitionBy(USER).orderBy("second")
+    distinct = hot.groupBy(*events.columns).agg(F.count("*").alias("copies"))
     seconds = (
-        hot.groupBy(USER, _second().alias("second"))
+        distinct.groupBy(USER, _second().alias("second"))
         .agg(F.min(key).alias("head"))
         .withColumn("silence", F.col("second") - F.lag("second").over(by_second))
     )
-    is_head = key.eqNullSafe(F.col("head"))
+    is_head = key.eqNullSafe(F.col("head")) & (F.col("copy") == 1)
     by_lookup = (
-        hot.withColumn("second", _second())
+        distinct.withColumn("second", _second())
         .join(seconds, [USER, "second"])
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
         .withColumn("gap_seconds", F.when(is_head, F.col("silence")).otherwise(0))
     )
 

@@ -7,6 +7,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,10 @@ from pyspark.storagelevel import StorageLevel
 from tidemark.functions.clock import LOCAL_ZONE
 from tidemark.operators import ledger
 from tidemark.operators.calendar import date_range, with_local_date
-from tidemark.operators.metrics import daily_counts
+from tidemark.operators.metrics import daily_counts, partition_stats
 from tidemark.operators.sessions import SESSION_GAP, sessionize, sessionize_within
 from tidemark.operators.skew import SKEW_THRESHOLD, at_least, busiest, user_event_counts
-from tidemark.schema import DATE
+from tidemark.schema import DATE, RAW_EVENTS, SESSION_ID
 from tidemark.session import shared_dir, shuffle_width
 from tidemark.sources import catalog, publish
 from tidemark.sources.ledger_store import LedgerStore
@@ -46,31 +47,37 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _stage_database(run_id: str) -> str:
-    return "stage_" + run_id.replace("-", "_")
+def _stages(folder: str, table: str) -> str:
+    """Where the runs that fill ``table`` keep their staged input."""
+    return f"{folder}/stages/{table}"
 
 
-def stage_rows(spark: SparkSession, raw: DataFrame, checkpoint_dir: str, run_id: str) -> DataFrame:
-    """Write the parsed input once, as a columnar table in the shared folder.
+def stage_rows(spark: SparkSession, raw: DataFrame, stages: str, run_id: str) -> DataFrame:
+    """Write the parsed input once, as Parquet in the shared folder.
 
     The job passes over its input several times with one to three columns.
     From here those passes prune columns and row groups, parse no text, and
     survive the loss of executors.
     """
-    database = _stage_database(run_id)
-    spark.sql(f"CREATE DATABASE {database} LOCATION {catalog.quoted(f'{checkpoint_dir}/{run_id}')}")
-    raw.write.format("parquet").saveAsTable(f"{database}.events")
-    return spark.table(f"{database}.events")
+    path = f"{stages}/{run_id}"
+    raw.write.parquet(path)
+    return spark.read.schema(raw.schema).parquet(path)
 
 
-def drop_stage(spark: SparkSession, run_id: str | None) -> None:
-    """Drop a run's staged table and its files; failure only logs."""
-    if run_id is None:
-        return
+def drop_stages(spark: SparkSession, stages: str) -> None:
+    """Delete what any run has staged for a table; failure only logs.
+
+    Runs that fill one table do not overlap, so whatever lies there is left
+    over, also from a driver that was killed before its ledger knew of the run.
+    Goes by path, so it needs no catalog.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(stages)
     try:
-        spark.sql(f"DROP DATABASE IF EXISTS {_stage_database(run_id)} CASCADE")
-    except PySparkException as error:
-        log.warning("stage of run %s stays: %s", run_id, error)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(path):
+            files.delete(path, True)
+    except Py4JJavaError as error:
+        log.warning("stages in %s stay: %s", stages, error)
 
 
 def _check_range(start: str | None, end: str | None) -> None:
@@ -97,85 +104,186 @@ def run(
     zone: str = LOCAL_ZONE,
     table: str = catalog.TABLE,
     detect_growth: bool = True,
+    replace_not_contained: bool = False,
     analyze: bool = True,
+    statistics_dir: str | None = None,
 ) -> RunSummary:
     """Publish every local date of the input that is not published yet.
 
     The whole input is read, so sessions are exact at the edges of the date
     range; only the dates that need work are labelled and written. A date's
-    SUCCESS is recorded last, with the rows counted in what was written. On
-    error the dates of the run are recorded as FAILED and the error is raised.
-    Rows without a time have no date; they are set aside, not dropped.
+    SUCCESS is recorded last, with the rows counted in what was written; that
+    check comes after the old files are gone. On error the dates of the run are
+    recorded as FAILED and the error is raised.
+
+    No published row is lost: a date whose output holds rows that this input
+    lacks is kept as it is (``KEEP_NOT_CONTAINED``) and listed in the summary,
+    unless ``replace_not_contained``. If work on a date changes sessions that
+    run on into finished dates of the input and range, those are written anew
+    (``REBUILD_SESSION``).
+
+    A run without work writes nothing. With work, rows without a time, which
+    have no date, are set aside, and with ``analyze`` the statistics of the
+    dates written are appended to ``statistics_dir`` (default: beside the
+    output). Runs that fill one table must not overlap.
     """
     _check_range(start_date, end_date)
     if gap <= 0 or skew_threshold <= 0:
         raise ValueError("gap and skew_threshold must be positive")
     folder = (checkpoint_dir or shared_dir(spark)).rstrip("/")
     output = output_dir.rstrip("/")
+    statistics = (statistics_dir or f"{output}-statistics").rstrip("/")
     run_id = str(uuid.uuid4())
 
     store.create(spark)
     publish.ensure_root(spark, output)
     catalog.ensure_table(spark, output, table)
+    stages = _stages(folder, table)
+    drop_stages(spark, stages)
     try:
         raw = with_local_date(read_raw_csv(spark, input_dir), zone)
-        staged = stage_rows(spark, raw, folder, run_id)
-        daily = daily_counts(staged).collect()  # one row per date
+        daily = daily_counts(raw).collect()  # one row per date, from one column
         rows = sum(row["record_count"] for row in daily)
-        targets = spark.createDataFrame(
-            [row for row in daily if row[DATE] is not None], f"{DATE} string, record_count bigint"
-        )
+        targets = [row for row in daily if row[DATE] is not None]
         plan = (
             ledger.plan(
-                date_range(targets, start_date, end_date),
+                date_range(
+                    spark.createDataFrame(targets, f"{DATE} string, record_count bigint"),
+                    start_date,
+                    end_date,
+                ),
                 store.current(spark),
-                publish.published_counts(spark, output),
+                publish.published_counts(spark, output, [row[DATE] for row in targets]),
                 detect_growth,
             )
             .orderBy(DATE)
             .collect()
         )
-        undated_path = f"{folder}/undated/{run_id}"
-        undated_rows = _set_aside_undated(staged, daily, undated_path)
+        undated_rows = sum(row["record_count"] for row in daily if row[DATE] is None)
+        work = any(row["action"] != ledger.SKIP for row in plan)
+        staged = stage_rows(spark, raw, stages, run_id) if work else raw
 
         with shuffle_width(spark, rows):
             # Read three times: for the busiest, the skewed and the hot users.
             user_counts = user_event_counts(staged).persist(StorageLevel.MEMORY_AND_DISK)
             try:
+                if work and not replace_not_contained:
+                    plan = _kept_where_not_contained(staged, plan, output)
+                if any(row["action"] in _WORK for row in plan):
+                    plan = _with_changed_sessions(staged, plan, output, gap)
+                todo = [row for row in plan if row["action"] in _WORK]
+                undated_path = f"{folder}/undated/{run_id}" if todo and undated_rows else None
+                if undated_path:
+                    _set_aside_undated(staged, undated_rows, undated_path)
                 summary = RunSummary(
                     run_id=run_id,
                     plan=plan,
                     top_users=busiest(user_counts).collect(),
                     skewed_users=at_least(user_counts, skew_threshold).count(),
                     undated_rows=undated_rows,
-                    undated_path=undated_path if undated_rows else None,
+                    undated_path=undated_path,
                 )
                 if summary.skewed_users:
                     log.warning("%d users have %d events or more", summary.skewed_users, skew_threshold)
-                catalog.register_dates(spark, summary.dates(ledger.SKIP), output, table)
-                todo = [row for row in plan if row["action"] != ledger.SKIP]
+                if kept := summary.dates(ledger.KEEP_NOT_CONTAINED):
+                    log.warning("kept, for the input lacks rows of them: %s", ", ".join(kept))
+                catalog.register_dates(
+                    spark, summary.dates(ledger.SKIP, ledger.KEEP_NOT_CONTAINED), output, table
+                )
                 if todo:
                     labelled = _label(staged, todo, gap, rows, user_counts)
                     _publish(spark, labelled, todo, summary, output, store, table)
-                    if analyze and _is_most(todo, rows):
-                        catalog.analyze_once(spark, table)
-                    elif analyze:
-                        catalog.analyze_dates(spark, [row[DATE] for row in todo], table)
+                    if analyze:
+                        dates = [row[DATE] for row in todo]
+                        _append_statistics(spark, output, dates, run_id, statistics)
+                        catalog.analyze_dates(spark, dates, table)
                 else:
                     log.warning("nothing to do in %s", input_dir)
             finally:
                 user_counts.unpersist()
     finally:
-        drop_stage(spark, run_id)
+        drop_stages(spark, stages)
     return summary
 
 
-def _set_aside_undated(staged: DataFrame, daily: list[Row], path: str) -> int:
-    rows = sum(row["record_count"] for row in daily if row[DATE] is None)
-    if rows:
-        staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(path)
-        log.warning("%d rows without a time are in %s", rows, path)
-    return rows
+_WORK = (
+    ledger.BUILD,
+    ledger.REBUILD_GREW,
+    ledger.REBUILD_MISSING,
+    ledger.REBUILD_STALE,
+    ledger.REBUILD_FAILED,
+    ledger.REBUILD_SESSION,
+)
+
+
+def _with_action(plan: list[Row], dates: set[str], action: str) -> list[Row]:
+    return [
+        Row(**{**row.asDict(), "action": action}) if row[DATE] in dates else row for row in plan
+    ]
+
+
+def _not_contained(staged: DataFrame, dates: list[str], output: str) -> set[str]:
+    """Those of the dates whose published rows are not all in the input.
+
+    Both sides are pruned to the dates; copies count.
+    """
+    wanted = F.col(DATE).isin(dates)
+    columns = [*RAW_EVENTS.names, DATE]
+    published = publish.read_events(staged.sparkSession, output).where(wanted)
+    lost = published.select(*columns).exceptAll(staged.where(wanted).select(*columns))
+    return {row[DATE] for row in lost.select(DATE).distinct().collect()}  # dates
+
+
+def _kept_where_not_contained(staged: DataFrame, plan: list[Row], output: str) -> list[Row]:
+    dates = [r[DATE] for r in plan if r["action"] != ledger.SKIP and r["published_count"] is not None]
+    if not dates:
+        return plan
+    return _with_action(plan, _not_contained(staged, dates, output), ledger.KEEP_NOT_CONTAINED)
+
+
+def _with_changed_sessions(
+    staged: DataFrame, plan: list[Row], output: str, gap: int
+) -> list[Row]:
+    """The plan with finished dates to rebuild whose session IDs have changed.
+
+    A change reaches a date only over the date before it, so the finished dates
+    next to one with work are compared, and from each that differs the next.
+    """
+    dates = [row[DATE] for row in plan]
+    finished = {row[DATE] for row in plan if row["action"] == ledger.SKIP}
+    reached = {row[DATE] for row in plan if row["action"] in _WORK}
+    columns = ["user_id", "event_time", SESSION_ID, DATE]
+    looked_at: set[str] = set()
+    changed: set[str] = set()
+    while True:
+        after = {b for a, b in zip(dates, dates[1:]) if a in reached}
+        frontier = sorted((after & finished) - looked_at)
+        if not frontier:
+            return _with_action(plan, changed, ledger.REBUILD_SESSION)
+        looked_at.update(frontier)
+        wanted = F.col(DATE).isin(frontier)
+        now = sessionize_within(staged.where(wanted), staged, gap).select(*columns)
+        before = publish.read_events(staged.sparkSession, output).where(wanted).select(*columns)
+        differ = {r[DATE] for r in now.exceptAll(before).select(DATE).distinct().collect()}
+        if differ:
+            # An equal number of other rows is no reason to lose the published ones.
+            differ -= _not_contained(staged, sorted(differ), output)
+        changed |= differ
+        reached |= differ
+
+
+def _append_statistics(
+    spark: SparkSession, output: str, dates: list[str], run_id: str, path: str
+) -> None:
+    """Append the dates' counts, distinct values and bounds to a Parquet table."""
+    written = publish.read_events(spark, output).where(F.col(DATE).isin(dates))
+    stats = partition_stats(written).withColumn("run_id", F.lit(run_id))
+    stats.coalesce(1).write.mode("append").parquet(path)  # one row per date
+
+
+def _set_aside_undated(staged: DataFrame, rows: int, path: str) -> None:
+    staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(path)
+    log.warning("%d rows without a time are in %s", rows, path)
 
 
 def _is_most(todo: list[Row], rows: int) -> bool:
@@ -220,8 +328,6 @@ def _publish(
     }
     reasons = of_dates([demoted.get(row["action"]) for row in todo], "error_message", "string")
     if summary.dates(*demoted):
-        for old_run in {r["run_id"] for r in todo if r["action"] == ledger.REBUILD_STALE}:
-            drop_stage(spark, old_run)
         reasons = reasons.where(F.col("error_message").isNotNull())
         store.append(ledger.fail(store.current(spark), reasons, _now(), seq))
     store.append(ledger.begin(of_dates([0] * len(dates), "unused", "int"), summary.run_id, _now(), seq + 1))
@@ -230,9 +336,7 @@ def _publish(
         publish.write_dates(labelled, output)
         written = {
             row[DATE]: row["record_count"]
-            for row in publish.published_counts(spark, output)
-            .where(F.col(DATE).isin(dates))
-            .collect()
+            for row in publish.published_counts(spark, output, dates).collect()
         }
         wrong = [r[DATE] for r in todo if written.get(r[DATE]) != r["source_count"]]
         if wrong:

@@ -29,17 +29,14 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-# A shuffled event takes about 100 bytes. The upper limit keeps the shuffle's
-# bookkeeping on the driver in bounds; beyond it partitions grow and spill.
+# A shuffled event takes about 100 bytes.
 SHUFFLED_ROW_BYTES = 100
 SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 40_000
 
 
-def shuffle_partitions(rows: int) -> int:
-    """Width for a full-row shuffle of so many events."""
-    wanted = -(-rows * SHUFFLED_ROW_BYTES // SHUFFLE_PARTITION_BYTES)
-    return min(max(wanted, 1), MOST_SHUFFLE_PARTITIONS)
+def shuffle_partitions(rows: int, row_bytes: int = SHUFFLED_ROW_BYTES) -> int:
+    """Width for a full-row shuffle of so many rows; it grows with them."""
+    return max(-(-rows * row_bytes // SHUFFLE_PARTITION_BYTES), 1)
 
 
 @contextmanager
@@ -62,12 +59,26 @@ def build_session(
     app_name: str = "tidemark",
     master: str | None = None,
     extra: dict[str, str] | None = None,
+    events: int | None = None,
+    hive: bool = False,
 ) -> SparkSession:
-    """A session with the settings above; ``extra`` wins over them."""
+    """A session with the settings above; ``extra`` wins over them.
+
+    ``events`` is about how many rows the largest input has; it sets the width
+    of the shuffles, which adaptive execution only ever makes narrower. Give it
+    wherever the library's functions are called outside the batch job, which
+    sets the width itself. With ``hive`` tables are kept in the metastore that
+    the cluster's configuration names, so they outlive the session.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    if hive:
+        builder = builder.enableHiveSupport()
+    settings = dict(SETTINGS)
+    if events is not None:
+        settings["spark.sql.shuffle.partitions"] = str(max(shuffle_partitions(events), 200))
+    for key, value in {**settings, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -75,12 +86,16 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for intermediate tables.
 
-    ``spark.checkpoint.dir`` names it. A temporary folder of this machine is
-    used only where the setting is absent, as in local tests.
+    ``spark.checkpoint.dir`` names it. Where the setting is absent a local
+    session, as in tests, gets a temporary folder of this machine; on a cluster
+    that is an error, for executors would not see each other's files.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
+        master = context.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")

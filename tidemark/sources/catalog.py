@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import PySparkException
@@ -25,7 +26,10 @@ def quoted(text: str) -> str:
 
 
 def ensure_table(spark: SparkSession, location: str, table: str = TABLE) -> None:
-    """Create database and external table over ``location`` unless they exist."""
+    """Create database and external table over ``location`` unless they exist.
+
+    A table of that name over another location is an error.
+    """
     database = table.rpartition(".")[0]
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -35,6 +39,19 @@ def ensure_table(spark: SparkSession, location: str, table: str = TABLE) -> None
         " OPTIONS (compression 'snappy')"
         f" PARTITIONED BY ({DATE}) LOCATION {quoted(location)}"
     )
+    found = table_location(spark, table)
+    if found is not None and _plain(found) != _plain(location):
+        raise ValueError(f"table {table} lies at {found}, not at {location}")
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _plain(location: str) -> str:
+    """A path as it compares: local ones are written in several ways."""
+    return re.sub("^file:/*", "/", location.rstrip("/"))
 
 
 def register_dates(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import daily_counts
 from tidemark.schema import DATE, EVENTS
@@ -16,6 +19,13 @@ def write_dates(dated: DataFrame, path: str, max_records_per_file: int = 0) -> N
     many tasks and merges small ones. Files are staged by Spark's committer
     and moved at commit, so a failed job changes nothing; a reader that lists
     files during the commit can still see a mix of dates.
+
+    Dynamic overwrite needs Spark's own commit protocol with Hadoop's file
+    output committers, which move files at commit. On an object store a move is
+    a copy; committers that upload in place, such as the magic and the EMRFS
+    ones, reject dynamic overwrite or fall back to moves. There, write
+    to a file system with renames, or one date at a time to ``path/dt=...``
+    with plain overwrite.
     """
     (
         dated.select(*EVENTS.names)
@@ -44,9 +54,15 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(path)
 
 
-def published_counts(spark: SparkSession, path: str) -> DataFrame:
+def published_counts(
+    spark: SparkSession, path: str, dates: Sequence[str] | None = None
+) -> DataFrame:
     """Rows per published date; a date without rows is absent.
 
-    Reads no column, only the row counts in the file footers.
+    Reads no column, only the row counts in the file footers, and with ``dates``
+    only those of their files.
     """
-    return daily_counts(read_events(spark, path))
+    events = read_events(spark, path)
+    if dates is not None:
+        events = events.where(F.col(DATE).isin(list(dates)))
+    return daily_counts(events)
