@@ -170,10 +170,9 @@ def test_empty_table(spark, operator):
 
 
 def test_rows_without_id_do_not_fail(spark):
-    docs = table(spark, [(None, "a b c"), (1, "a b c"), (2, None)])
-    assert exact_dedup.exact_groups(docs).count() == 3
-    assert simhash.simhash_components(docs).count() == 3
-    assert substrings.remove_repeats(docs).count() == 3
+    docs = table(spark, [(None, "a b c"), (2**60 + 1, "a b c"), (2, None)])
+    for operator in (exact_dedup.exact_groups, simhash.simhash_components, substrings.remove_repeats):
+        assert {r.doc_id for r in operator(docs).collect()} == {None, 2**60 + 1, 2}
 
 
 def test_components_of_chains_stars_and_rings(spark):

@@ -26,6 +26,18 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def map_rows(rows: DataFrame, run, fields: str) -> DataFrame:
+    """``mapInPandas`` for rows with a ``doc_id``, which comes out with ``fields``.
+
+    Ids go as text: pandas would turn a batch of numbers with a NULL into
+    floats, which are not exact beyond 2^53.
+    """
+    kind = rows.schema["doc_id"].dataType
+    as_text = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    found = as_text.mapInPandas(run, f"doc_id string, {fields}")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z; every other character stays. NULL counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_rows
+
 UNDETERMINED = "und"
 
 # The model is fitted on a bounded sample: of at most MOST_LANGUAGES languages
@@ -140,9 +142,8 @@ def identify(
                 }
             )
 
-    kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {kind}, lang_pred string, score double, accepted boolean")
+    return map_rows(rows, run, "lang_pred string, score double, accepted boolean")
 
 
 def held_out(id_column: str = "doc_id") -> Column:

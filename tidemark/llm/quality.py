@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach, stored
+from tidemark.llm.common import attach, map_rows, stored
 
 TARGETS = ("low", "toxic")
 
@@ -267,17 +267,14 @@ def classify(
         name = F.col(column).cast("string")
         return F.when(name.isNull(), "-").otherwise(F.concat(F.lit("+"), name))
 
-    kind = docs.schema[id_column].dataType.simpleString()
     numbers = ", ".join(f"{t}_evidence double, {t}_own double" for t in TARGETS)
-    rows = stored(
-        docs.select(
-            F.col(id_column).alias("doc_id"),
-            site(host).alias("host"),
-            site(section).alias("section"),
-            F.col(text_column).alias("text"),
-        ).mapInPandas(evidence, f"doc_id {kind}, host string, section string, {numbers}"),
-        "evidence",
+    texts = docs.select(
+        F.col(id_column).alias("doc_id"),
+        site(host).alias("host"),
+        site(section).alias("section"),
+        F.col(text_column).alias("text"),
     )
+    rows = stored(map_rows(texts, evidence, f"host string, section string, {numbers}"), "evidence")
 
     sums = [F.count("*").alias("n")]
     for t in TARGETS:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach, stored
+from tidemark.llm.common import attach, map_rows, stored
 from tidemark.llm.components import connected_components
 
 # Fixed values of the fingerprint.
@@ -119,9 +119,8 @@ def fingerprints(
             found = [fingerprint(shingle_hashes(t, words)) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": _signed(found)})
 
-    kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {kind}, fingerprint bigint")
+    return map_rows(rows, run, "fingerprint bigint")
 
 
 def postings(nodes: DataFrame, node: str, lane: str, tag: int = 0) -> DataFrame:
@@ -283,10 +282,9 @@ def _lanes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             columns = {"doc_id": batch["doc_id"], "text_key": keys}
             yield pd.DataFrame(columns | {n: _signed(v) for n, v in zip(names, lanes)})
 
-    kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     more = ", ".join(f"{n} bigint" for n in names)
-    return rows.mapInPandas(run, f"doc_id {kind}, text_key bigint, {more}")
+    return map_rows(rows, run, f"text_key bigint, {more}")
 
 
 def _loose_links(nodes: DataFrame) -> DataFrame:

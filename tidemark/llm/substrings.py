@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import map_rows, stored
 
 WINDOW = 20
 SEED = 9
@@ -149,8 +149,7 @@ def _anchors(rows: DataFrame, window: int, seed: int) -> DataFrame:
                     }
                 )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"anchor bigint, extension bigint, doc_id {kind}")
+    return map_rows(rows, run, "anchor bigint, extension bigint")
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,8 +234,7 @@ def _packed(rows: DataFrame) -> DataFrame:
             texts = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "packed": texts})
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, packed binary")
+    return map_rows(rows, run, "packed binary")
 
 
 def _unpacked_words(unpack, packed: bytes) -> list[bytes]:
@@ -338,9 +336,10 @@ def remove_repeats(
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "spans", "n_removed", "kept_text"])
 
     joined = texts.join(by_doc, "doc_id", "left").join(first_lists, "doc_id", "left")
-    return joined.mapInPandas(
+    return map_rows(
+        joined,
         finish,
-        f"doc_id {kind}, n_words bigint, spans array<struct<start:bigint,end:bigint>>,"
+        "n_words bigint, spans array<struct<start:bigint,end:bigint>>,"
         " n_removed bigint, kept_text string",
     )
 

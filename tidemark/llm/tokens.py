@@ -24,6 +24,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_rows
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text ahead of the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -232,11 +234,10 @@ def count_tokens(
                 }
             )
 
-    kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
-    return rows.mapInPandas(run, f"doc_id {kind}, text string, n_tokens bigint, {_TREE}")
+    return map_rows(rows, run, f"text string, n_tokens bigint, {_TREE}")
 
 
 def with_redactions(counted: DataFrame) -> DataFrame:
@@ -272,8 +273,6 @@ def apply_edits(
                 tree = Tree(list(map(int, chars)), list(map(int, tokens)))
                 before, encoded, done = tree.tokens[1], 0, 0
                 for e in () if edits is None else edits:
-                    if None in (e["start"], e["length"], e["replacement"]):
-                        continue
                     text, tree, chars_encoded = edit(
                         counter, text, tree, e["start"], e["length"], e["replacement"], leaf_chars
                     )
@@ -282,9 +281,13 @@ def apply_edits(
             names = ("doc_id", "text", "n_tokens", "node_chars", "node_tokens", "tokens_before", "n_edits", "encoded_chars")
             yield pd.DataFrame(out, columns=names)
 
-    kind = counted.schema["doc_id"].dataType.simpleString()
-    return counted.select("doc_id", "text", "node_chars", "node_tokens", "edits").mapInPandas(
+    # A NULL would turn a batch's numbers into floats.
+    given = F.filter(
+        "edits", lambda e: e["start"].isNotNull() & e["length"].isNotNull() & e["replacement"].isNotNull()
+    )
+    rows = counted.select("doc_id", "text", "node_chars", "node_tokens", given.alias("edits"))
+    return map_rows(
+        rows,
         run,
-        f"doc_id {kind}, text string, n_tokens bigint, {_TREE},"
-        " tokens_before bigint, n_edits int, encoded_chars bigint",
+        f"text string, n_tokens bigint, {_TREE}, tokens_before bigint, n_edits int, encoded_chars bigint",
     )
