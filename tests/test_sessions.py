@@ -191,7 +191,23 @@ def test_gap_seconds(spark, hot):
     assert [r.gap_seconds for r in rows] == [g for *_, g in order] + [None, None]
 
 
+@pytest.mark.parametrize("hot", WAYS, ids=["window", "lookup"])
+def test_of_exact_copies_one_carries_the_silence(spark, hot):
+    row = ("view", 1, 7, None, None, 1.0, 5, None)
+    times = ["2024-01-01 00:00:00", *["2024-01-01 00:10:00"] * 3, "2024-01-01 00:10:01"]
+    frame = spark.createDataFrame([(utc(t), *row) for t in times], RAW_EVENTS)
+    gaps = [r.gap_seconds for r in sessions.gap_seconds(frame, **hot).collect()]
+    assert sorted(gaps, key=lambda g: (g is not None, g)) == [None, 0, 0, 1, 600]
+
+
+def test_an_order_that_does_not_begin_with_the_time_is_refused(events):
+    with pytest.raises(ValueError, match="event_time"):
+        sessions.gap_seconds(events((1, "2024-01-01 00:00:00")), order=("product_id",))
+
+
 def test_hot_list_is_bounded_and_takes_the_busiest(events):
+    with pytest.raises(ValueError, match="broadcast"):
+        sessions.hot_users(events((1, "2024-01-01 00:00:00")), 1, sessions.HOT_USERS + 1)
     rows = [(u, "2024-01-01 00:00:00") for u in range(10) for _ in range(u + 1)]
     counts = user_event_counts(events(*rows, *[(None, "2024-01-01 00:00:00")] * 20))
     assert [r.user_id for r in sessions.hot_users(counts, 4, 3).collect()] == [9, 8, 7]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.weekly import sessionized_events
 from tidemark.schema import EVENTS, RAW_EVENTS
-from tidemark.session import shared_dir, shuffle_partitions, shuffle_width
+from tidemark.session import build_session, shared_dir, shuffle_partitions, shuffle_width
 from tidemark.sources import catalog, publish, raw
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
@@ -189,10 +189,48 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+class Elsewhere:
+    """A session on a cluster, as far as the shared folder is concerned."""
+
+    def __init__(self, master):
+        self.sparkContext = self.conf = self
+        self.master = master
+
+    def get(self, *_):
+        return None
+
+    def getCheckpointDir(self):
+        return None
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[3,2,3000]"])
+def test_no_folder_of_one_machine_on_a_cluster(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Elsewhere(master))
+
+
+def test_session_is_as_wide_as_its_input(spark, conf):
+    conf(spark__sql__shuffle__partitions="8")
+    build_session(events=10**12, extra={"spark.sql.session.timeZone": "UTC"})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "186265"
+
+
+def test_table_over_another_location_is_refused(spark, published, tmp_path):
+    table = "default.one_place"
+    try:
+        catalog.ensure_table(spark, published, table)
+        catalog.ensure_table(spark, published + "/", table)
+        with pytest.raises(ValueError, match="one_place lies at"):
+            catalog.ensure_table(spark, f"file://{tmp_path}/elsewhere", table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_shuffle_width(spark):
     assert shuffle_partitions(0) == 1
     assert shuffle_partitions(10**9) == 187
-    assert shuffle_partitions(10**12) == 40_000
+    assert shuffle_partitions(10**12) == 186_265  # no fixed upper limit
+    assert shuffle_partitions(10**12, 1_000) == 1_862_646
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with pytest.raises(RuntimeError), shuffle_width(spark, 10**9):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "187"
