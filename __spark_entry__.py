@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidemark.functions import clock  # noqa: E402
 from tidemark.operators import calendar, ledger, metrics, sessions, skew  # noqa: E402
 from tidemark.plans import pipeline, weekly  # noqa: E402
-from tidemark.session import scratch_path  # noqa: E402
+from tidemark.session import scratch_path, ship_package  # noqa: E402
 from tidemark.sources import catalog, publish, raw  # noqa: E402
 from tidemark.sources.ledger_store import LedgerStore  # noqa: E402
 
@@ -566,7 +566,18 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if text_queries is None:
         return core_queries()
-    return {**core_queries(), **text_queries.queries(), "pipeline": corpus_pipeline.run}
+    text = {**text_queries.queries(), "pipeline": corpus_pipeline.run}
+    return {**core_queries(), **{name: _shipped(query) for name, query in text.items()}}
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]):
+    """The query, with this package sent to the executors' Python before it runs."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 # --- the same in SQL ---------------------------------------------------------

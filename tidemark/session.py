@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -83,6 +85,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application.
+
+    For functions that run there, where the package is not installed. The
+    archive is read by the driver alone, which serves it to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark")
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "tidemark"))
+        _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for intermediate tables.
 
