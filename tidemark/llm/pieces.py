@@ -40,12 +40,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import map_rows, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 32_768
 BLOCK = 64
-REMEMBERED_UNITS = 200_000
+REMEMBERED_UNITS = 50_000
 
 # Fixed values of the format: the sign for a space.
 SPACE = "▁"
@@ -411,12 +411,12 @@ def encode(
     model_path: str = MODEL,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """``doc_id, ids, chunks, text_sha256`` of every row.
+    """``doc_id, ids, chunks, intact`` of every row.
 
-    The ids are those of the SentencePiece library for the whole text. A NULL
-    or empty text has none. Rows that repeat an id or a text are encoded as
-    often as they occur. Other columns are not looked at. ``text_sha256`` is
-    the digest of the text, for checking what is decoded.
+    The ids are those of the SentencePiece library for the whole text, and
+    ``intact`` says whether they decode to it. A NULL or empty text has none
+    and is intact. Rows that repeat an id or a text are encoded as often as they
+    occur. Other columns are not looked at.
     """
     spark = docs.sparkSession
     with open(model_path, "rb") as file:
@@ -428,36 +428,33 @@ def encode(
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _model(proto.value)
         for batch in batches:
+            found = [model.encode(t) for t in batch["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
-                    "ids": [np.array(model.encode(t), np.int32) for t in batch["text"]],
+                    "ids": [np.array(ids, np.int32) for ids in found],
                     "chunks": 1,
-                    "text_sha256": batch["text_sha256"],
+                    "intact": [model.decode(ids) == t for ids, t in zip(found, batch["text"])],
                 }
             )
 
-    kind = docs.schema[id_column].dataType.simpleString()
     text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("text_sha256")
-    )
+    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("text"))
     is_giant = F.length("text") >= chunk
-    schema = f"doc_id {kind}, ids array<int>, chunks int, text_sha256 string"
-    small = rows.where(~is_giant).mapInPandas(whole, schema)
+    small = map_rows(rows.where(~is_giant), whole, "ids array<int>, chunks int, intact boolean")
     # Equal giant texts are encoded once.
-    giants = (
-        rows.where(is_giant)
-        .groupBy(F.col("text_sha256").alias("giant"))
-        .agg(F.first("text").alias("text"))
-    )
-    found = _encode_giants(giants, proto, chunk, context)
-    large = (
-        rows.where(is_giant)
-        .select("doc_id", "text_sha256")
-        .join(found.withColumnRenamed("giant", "text_sha256"), "text_sha256")
-        .select("doc_id", "ids", "chunks", "text_sha256")
+    giant_rows = rows.where(is_giant).withColumn("giant", F.sha2("text", 256))
+    giants = giant_rows.groupBy("giant").agg(F.first("text").alias("text"))
+    encoded = _encode_giants(giants, proto, chunk, context)
+    # Decoded from the joined ids, and compared by the digest of the text.
+    decoded = decode(encoded.withColumnRenamed("giant", "doc_id").withColumn("pieces", F.col("ids")), ("pieces", "chunks"), model_path)
+    found = decoded.select(
+        F.col("doc_id").alias("giant"),
+        F.col("pieces").alias("ids"),
+        "chunks",
+        (F.sha2("text", 256) == F.col("doc_id")).alias("intact"),
     )
+    large = giant_rows.select("doc_id", "giant").join(found, "giant").drop("giant")
     return small.unionByName(large)
 
 
@@ -479,6 +476,5 @@ def decode(
             texts = [model.decode(() if i is None else i.tolist()) for i in batch["ids"]]
             yield batch.drop(columns="ids").assign(text=texts)
 
-    kept = ("doc_id", *keep)
-    kinds = ", ".join(f"{c} {encoded.schema[c].dataType.simpleString()}" for c in kept)
-    return encoded.select(*kept, "ids").mapInPandas(run, f"{kinds}, text string")
+    kinds = "".join(f"{c} {encoded.schema[c].dataType.simpleString()}, " for c in keep)
+    return map_rows(encoded.select("doc_id", *keep, "ids"), run, f"{kinds}text string")
