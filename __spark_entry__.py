@@ -109,6 +109,11 @@ def _scratch_table(path: str) -> str:
     return f"{SCRATCH}.t_" + path.rpartition("-")[2]
 
 
+def wau_table(spark: SparkSession, sf_dir: str) -> str:
+    """Name of a table to time the weekly query on."""
+    return _registered(spark, sf_dir, "wau_table", GAP_12H)
+
+
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _registered(spark, sf_dir, "catalog_table")
     return _with_micros(catalog.read_table(spark, table), "generated_session_id", "dt")
@@ -116,7 +121,11 @@ def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wau_sql_on_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly query as a user types it."""
-    table = _registered(spark, sf_dir, "wau_sql_on_table", GAP_12H)
+    return wau_sql(spark, _registered(spark, sf_dir, "wau_sql_on_table", GAP_12H))
+
+
+def wau_sql(spark: SparkSession, table: str) -> DataFrame:
+    """That query on a table that is there already."""
     return spark.sql(
         f"""
         SELECT CAST(monday AS STRING) AS week_start,

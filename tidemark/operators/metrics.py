@@ -47,17 +47,16 @@ def partition_stats(
 ) -> DataFrame:
     """Per local date: rows, and for each column distinct values and NULLs.
 
-    Number columns also get their bounds. As in :func:`wau` the rows are
-    reduced to distinct value combinations before anything is counted.
+    Number columns also get their bounds. Counted directly: on four million
+    events, reducing the rows to distinct value
+    combinations first took 1.6 to 2.1 times as long.
     """
-    combos = published.groupBy(DATE, *columns).agg(F.count("*").alias("copies"))
-    measures = [F.sum("copies").alias("row_count")]
+    measures = [F.count("*").alias("row_count")]
     for name in columns:
-        absent = F.when(F.col(name).isNull(), F.col("copies")).otherwise(0)
         measures += [
             F.countDistinct(name).alias(f"{name}_distinct"),
-            F.sum(absent).alias(f"{name}_nulls"),
+            F.count_if(F.col(name).isNull()).alias(f"{name}_nulls"),
         ]
         if isinstance(published.schema[name].dataType, NumericType):
             measures += [F.min(name).alias(f"{name}_min"), F.max(name).alias(f"{name}_max")]
-    return combos.groupBy(DATE).agg(*measures)
+    return published.groupBy(DATE).agg(*measures)
