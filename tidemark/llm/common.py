@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # that is not among the HOT_KEYS largest of N rows holds at most N / HOT_KEYS.
 HOT_KEYS = 1_000
 
+# Rows a Python function gets at a time.
+ROWS_AT_ONCE = 256
+
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written once to the shared folder and read back.
@@ -30,11 +36,20 @@ def map_rows(rows: DataFrame, run, fields: str) -> DataFrame:
     """``mapInPandas`` for rows with a ``doc_id``, which comes out with ``fields``.
 
     Ids go as text: pandas would turn a batch of numbers with a NULL into
-    floats, which are not exact beyond 2^53.
+    floats, which are not exact beyond 2^53. ``run`` gets ROWS_AT_ONCE rows at a
+    time, so that a task holds the results of no more.
     """
     kind = rows.schema["doc_id"].dataType
+
+    def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return run(
+            batch.iloc[at : at + ROWS_AT_ONCE].reset_index(drop=True)
+            for batch in batches
+            for at in range(0, len(batch), ROWS_AT_ONCE)
+        )
+
     as_text = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    found = as_text.mapInPandas(run, f"doc_id string, {fields}")
+    found = as_text.mapInPandas(sliced, f"doc_id string, {fields}")
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
