@@ -25,7 +25,7 @@ def connected_components(links: DataFrame, left: str = "a", right: str = "b") ->
         turn += 1
 
         def rank(column: str, turn: int = turn):
-            # The hash is a bijection's worth of luck; the number breaks ties.
+            # Nodes with equal hashes are ordered by their number.
             return F.struct(F.xxhash64(F.lit(turn), F.col(column)).alias("luck"), F.col(column).alias("id"))
 
         both = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
