@@ -66,6 +66,17 @@ def _sums(hashes: np.ndarray, length: int, factor: int) -> np.ndarray:
     return total
 
 
+def _power_tables(count: int, tables: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+    """Powers 0..count of the factor and of its inverse, kept between texts."""
+    if len(tables.get("up", ())) <= count:
+        size = max(2 * count, 4_096)
+        for name, factor in (("up", _M), ("down", _M_INVERSE)):
+            steps = np.full(size, factor)
+            steps[0] = 1
+            tables[name] = np.cumprod(steps, dtype=np.uint64)
+    return tables["up"][: count + 1], tables["down"][: count + 1]
+
+
 class Anchored:
     """A text's windows, and the stretches of them that share an anchor."""
 
@@ -80,18 +91,18 @@ class Anchored:
         views = np.lib.stride_tricks.sliding_window_view(seeds, width)
         starts = np.arange(self.windows)
         place = starts + views.argmin(axis=1)
-        self.first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        self.last = np.r_[self.first[1:], self.windows] - 1
+        changes = np.flatnonzero(place[1:] != place[:-1]) + 1
+        self.first = np.concatenate([[0], changes])
+        self.last = np.concatenate([changes, [self.windows]]) - 1
         self.anchor = seeds[place[self.first]]
         # Hash of words first..last + window - 1 from sums over all words.
-        with np.errstate(over="ignore"):
-            powers = np.cumprod(np.r_[np.uint64(1), np.full(len(words), _M)], dtype=np.uint64)
-            back = np.cumprod(np.r_[np.uint64(1), np.full(len(words), _M_INVERSE)], dtype=np.uint64)
-            sums = np.r_[np.uint64(0), np.cumsum(hashes * powers[:-1], dtype=np.uint64)]
-            end = self.last + window
-            stretch = (sums[end] - sums[self.first]) * back[self.first]
-            shape = (place[self.first] - self.first) * 4096 + (end - self.first)
-            self.extension = _mix(stretch + _mix(shape.astype(np.uint64)))
+        up, down = _power_tables(len(words))
+        sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(hashes * up[:-1], out=sums[1:])
+        end = self.last + window
+        stretch = (sums[end] - sums[self.first]) * down[self.first]
+        shape = (place[self.first] - self.first) * 4096 + (end - self.first)
+        self.extension = _mix(stretch + _mix(shape.astype(np.uint64)))
         self.hashes, self.window = hashes, window
 
     def window_hashes(self) -> np.ndarray:
@@ -105,8 +116,9 @@ def _split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.rec.fromarrays([a, b], names="a,b")
+def _once(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a text's pairs (a, b) occur first. Within one text 64 bits do."""
+    return np.unique(_mix(a) ^ b, return_index=True)[1]
 
 
 def _within(a: np.ndarray, b: np.ndarray, known_a, known_b) -> np.ndarray:
@@ -136,9 +148,9 @@ def _anchors(rows: DataFrame, window: int, seed: int) -> DataFrame:
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 found = Anchored(_split(text), window, seed)
                 if found.windows:
-                    once = np.unique(_pairs(found.anchor, found.extension))
-                    anchors.append(once["a"])
-                    extensions.append(once["b"])
+                    once = _once(found.anchor, found.extension)
+                    anchors.append(found.anchor[once])
+                    extensions.append(found.extension[once])
                     ids += [doc] * len(once)
             if ids:
                 yield pd.DataFrame(
@@ -290,9 +302,10 @@ def remove_repeats(
                 if not found.windows:
                     continue
                 chosen = np.repeat(_within(found.anchor, found.extension, a, x), found.last - found.first + 1)
-                once = np.unique(_pairs(found.window_anchors()[chosen], found.window_hashes()[chosen]))
-                anchors.append(once["a"])
-                windows.append(once["b"])
+                own_anchors, own_windows = found.window_anchors()[chosen], found.window_hashes()[chosen]
+                once = _once(own_anchors, own_windows)
+                anchors.append(own_anchors[once])
+                windows.append(own_windows[once])
                 ids += [doc] * len(once)
             if ids:
                 yield pd.DataFrame(
@@ -351,9 +364,8 @@ def _repeats(found: Anchored, lists: list, window: int) -> list[tuple[int, int]]
         return []
     size = found.last - found.first + 1
     anchors, hashes = found.window_anchors(), found.window_hashes()
-    _, once = np.unique(_pairs(anchors, hashes), return_index=True)
     repeated = np.ones(found.windows, bool)
-    repeated[once] = False
+    repeated[_once(anchors, hashes)] = False
     if len(lists[0]):
         repeated |= np.repeat(_within(found.anchor, found.extension, lists[0], lists[1]), size)
     if len(lists[2]):
