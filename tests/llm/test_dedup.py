@@ -129,6 +129,36 @@ def test_similar_texts_form_groups(spark, mixed, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {i for i in ids if expected[i] == i}
 
 
+def test_lengthened_and_cut_copies_are_all_found(spark):
+    draw, rows = random.Random(8), []
+    for i in range(40):
+        words = prose(1_000 + i, 100 + 10 * i)
+        more = prose(2_000 + i, 100)
+        share = 0.1 + 0.0024 * i
+        n = int(len(words) * share)
+        changed = words + (more * 6)[:n] if i % 2 else words[:-n] if draw.random() < 0.5 else words[n:]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(changed))]
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in rows}
+    near = [i for i in range(0, 80, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    assert len(near) > 30
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(table(spark, rows)).collect()}
+    assert [i for i in range(0, 80, 2) if found[i + 1] == i] == near
+
+
+def test_similar_sets_share_a_first_shingle_and_pass_the_sketch():
+    draw = np.random.default_rng(4)
+    for _ in range(400):
+        whole = np.unique(draw.integers(0, 2**64, draw.integers(1, 3_000), np.uint64))
+        a, b = (np.sort(draw.permutation(whole)[: len(whole) - draw.integers(0, len(whole) // 8 + 1)]) for _ in "ab")
+        common = len(np.intersect1d(a, b))
+        if common < 0.8 * (len(a) + len(b) - common):
+            continue
+        frequent = draw.permutation(whole)[: draw.integers(0, len(whole) + 1)]
+        assert len(np.intersect1d(simhash.prefix(a, frequent, 0.8), simhash.prefix(b, frequent, 0.8)))
+        near = simhash._near_sketches(np.array([len(a), len(b)]), [simhash.sketch(a), simhash.sketch(b)], 0.8)
+        assert near(0, np.array([1])).tolist() == [1]
+
+
 def removed(rows, window):
     """Brute force: per row (id, words, removed words, kept text)."""
     seen: dict[bytes, int] = {}

@@ -16,6 +16,13 @@ links: members already reached are not compared again. A list longer than
 no task holds more than two blocks however many fingerprints share their bytes.
 
 Equal fingerprints are one node, so copies never multiply.
+
+Groups of similar texts are not left to fingerprints: a second source proposes
+every pair that can be similar enough. Shingles have a fixed order, the ones a
+sample shows to be frequent last; of two texts of Jaccard similarity s or more,
+the first n - ceil(s n) + 1 of n shingles always have one in common. The texts
+of such a list are compared by size and by a parity sketch, whose differing
+bits never outnumber the shingles that only one of the two has.
 """
 
 from __future__ import annotations
@@ -49,6 +56,13 @@ PAIR_WORDS = 2
 LOOSE_BITS = 40
 # Texts in a block of a group that is verified.
 VERIFY_BLOCK = 256
+# Texts looked at for frequent shingles: one in SAMPLE_STEP. They only choose
+# the order of shingles; the outcome is the same.
+SAMPLE_STEP = 64
+FREQUENT_IN_SAMPLE = 3
+FREQUENT_SHINGLES = 20_000
+# Bits of a text's sketch: a power of two, at least as many as it has shingles.
+LEAST_SKETCH, MOST_SKETCH = 256, 65_536
 
 
 def position_triples() -> list[tuple[int, int, int]]:
@@ -319,6 +333,136 @@ def _loose_links(nodes: DataFrame) -> DataFrame:
     return groups.select("members").mapInPandas(run, "a bigint, b bigint")
 
 
+def _frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
+    """Shingles that many texts of a sample have, by how many: rarest first."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                found = np.unique(shingle_hashes(text, words)).view(np.int64)
+                yield pd.DataFrame({"text_key": np.full(len(found), _text_key(text)), "shingle": found})
+
+    # Copies of a text count once.
+    frequent = (
+        texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_STEP)) == 0)
+        .select("text")
+        .mapInPandas(run, "text_key bigint, shingle bigint")
+        .distinct()
+        .groupBy("shingle")
+        .agg(F.count("*").alias("times"))
+        .where(F.col("times") >= FREQUENT_IN_SAMPLE)
+        .orderBy(F.desc("times"), "shingle")
+        .limit(FREQUENT_SHINGLES)
+    )
+    return np.array([r["shingle"] for r in reversed(frequent.collect())], np.int64).view(np.uint64)
+
+
+def prefix(shingles: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a set's distinct shingles, of which two sets of at least
+    ``similarity`` have one in common. ``frequent`` come last, in their order."""
+    rank = np.zeros(len(shingles), np.int64)
+    if len(frequent):
+        order = np.argsort(frequent)
+        at = np.minimum(np.searchsorted(frequent[order], shingles), len(frequent) - 1)
+        rank = np.where(frequent[order][at] == shingles, 1 + order[at], 0)
+    length = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-6)) + 1
+    return shingles[np.lexsort((shingles, rank))][:length]
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of how many distinct shingles fall on each bit."""
+    bits = LEAST_SKETCH
+    while bits < min(len(shingles), MOST_SKETCH):
+        bits *= 2
+    places = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits) & 1).tobytes()
+
+
+def _near_sketches(sizes: np.ndarray, sketches: list[bytes], similarity: float):
+    """Sets that sizes and sketches do not show to be less than similar."""
+    # Half of a sketch's bits: one half of it by exclusive or with the other.
+    lengths = np.array([len(s) for s in sketches])
+    tables: dict[int, np.ndarray] = {}
+    for length in sorted(set(lengths.tolist()), reverse=True):
+        table = np.zeros((len(sketches), length // 8), np.uint64)
+        for i in np.flatnonzero(lengths >= length):
+            own = np.frombuffer(sketches[i], np.uint64)
+            while len(own) > length // 8:
+                own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+            table[i] = own
+        tables[length] = table
+
+    def near(x: int, others: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+        others = others[low >= similarity * high - 1e-6]
+        common = np.minimum(lengths[others], lengths[x])
+        found = []
+        for length in np.unique(common):
+            some = others[common == length]
+            apart = np.bitwise_count(tables[int(length)][some] ^ tables[int(length)][x]).sum(axis=1)
+            most = (1 - similarity) / (1 + similarity) * (sizes[some] + sizes[x])
+            found.append(some[apart <= most + 1e-6])
+        return np.concatenate(found) if found else others
+
+    return near
+
+
+def _prefix_links(
+    docs: DataFrame, id_column: str, text_column: str, words: int, similarity: float
+) -> DataFrame:
+    """Links that connect, among others, all texts of at least ``similarity``."""
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    frequent = _frequent_shingles(texts, words)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for text in batch["text"]:
+                found = np.unique(shingle_hashes(text, words))
+                first = prefix(found, frequent, similarity).view(np.int64)
+                rows.append((_text_key(text), len(found), sketch(found), first))
+            columns = ["node", "size", "sketch", "shingles"]
+            yield pd.DataFrame({"doc_id": batch["doc_id"]} | dict(zip(columns, zip(*rows))))
+
+    # Texts without a word are one node, and so are copies.
+    sets = stored(
+        map_rows(texts, run, "node bigint, size bigint, sketch binary, shingles array<bigint>")
+        .where("size > 0")
+        .drop("doc_id")
+        .dropDuplicates(["node"]),
+        "prefixes",
+    )
+    dealt = blocks_of(sets.select("node", F.explode("shingles").alias("list")), "list", "node", BLOCK)
+    # Near copies meet in many lists; lists of the same texts are one.
+    lists = (
+        dealt.groupBy("list", "i", "j")
+        .agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+        .where(F.size("nodes") > 1)
+        .select("nodes")
+        .distinct()
+        .select(F.monotonically_increasing_id().alias("list"), "nodes")
+    )
+    lists = stored(lists, "prefix-lists")
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            links = []
+            for nodes, sizes, sketches in zip(batch["nodes"], batch["sizes"], batch["sketches"]):
+                near = _near_sketches(np.asarray(sizes, np.int64), list(sketches), similarity)
+                links += [(nodes[x], nodes[y]) for x, y in forest(len(nodes), near)]
+            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    members = lists.select("list", F.explode("nodes").alias("node"))
+    groups = (
+        members.join(sets.select("node", "size", "sketch"), "node")
+        .groupBy("list")
+        .agg(F.collect_list(F.struct("node", "size", "sketch")).alias("members"))
+    )
+    return groups.select(
+        *[F.col(f"members.{part}").alias(f"{part}{end}") for part, end in (("node", "s"), ("size", "s"), ("sketch", "es"))]
+    ).mapInPandas(linked, "a bigint, b bigint")
+
+
 def _near_sets(sets: list[np.ndarray], similarity: float):
     """Jaccard similarity within a block, by an inverted index of its shingles."""
     sizes = np.array([len(s) for s in sets])
@@ -392,8 +536,9 @@ def near_duplicate_groups(
     between texts whose sets of ``words``-word shingles have a Jaccard
     similarity of ``similarity`` or more.
 
-    The byte index over ``LANES`` fingerprints proposes groups; in a group all
-    pairs of different texts are verified on their shingles, block by block.
+    The byte index over ``LANES`` fingerprints and common first shingles propose
+    groups, the latter for every such pair (``similarity`` above 0); in a group
+    all pairs of different texts are verified on their shingles, block by block.
     Texts of the same words are one node. NULL and blank texts have the same
     (empty) words and form a group. Rows that repeat an id or a text are listed
     as often as they occur.
@@ -406,7 +551,10 @@ def near_duplicate_groups(
         ),
         "text-nodes",
     )
-    loose = connected_components(_loose_links(nodes))
+    proposed = _loose_links(nodes).unionByName(
+        _prefix_links(docs, id_column, text_column, words, similarity)
+    )
+    loose = connected_components(proposed)
     candidates = nodes.select("head", "text_key").join(
         loose.select(F.col("node").alias("text_key"), "root"), "text_key"
     )
