@@ -132,6 +132,33 @@ def test_planted_items_are_found_and_nothing_else(spark, exam, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {3, 4, 5}
 
 
+def test_long_items_are_verified_as_a_whole(spark):
+    def passage(seed, n):
+        return " ".join(f"p{seed}x{w}" for w in words(seed, n))
+
+    # 65, 150, 300 words, with an answer
+    items = [(1, passage(1, 64) + "\ncommon"), (2, passage(2, 140) + "\n" + passage(20, 10)), (3, passage(3, 100) + "\n" + passage(30, 200))]
+    pieces = {i: t.split() for i, t in items}
+    filler = passage(99, 300)
+    texts = {
+        # a clean text that has the last word, the question alone, a front part alone
+        1: filler + " common " + filler, 2: filler + " " + passage(2, 140) + " " + filler, 3: " ".join(pieces[2][:70]),
+        # the answer far from the question
+        4: passage(2, 140) + " " + filler + " " + filler + " " + passage(20, 10),
+        # a third of the question and all of the answer
+        5: " ".join(pieces[2][100:]),
+        # whole items
+        6: filler + " " + items[0][1] + " " + filler, 7: filler + " " + items[1][1] + " " + filler, 8: items[2][1], 9: filler + " " + items[2][1] + " " + items[0][1],
+        # an answer split over four parts, of which the last is missing
+        10: " ".join(pieces[3][:240]),
+    }
+    docs = docs_of(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    found = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(6, 1), (7, 2), (8, 3), (9, 1), (9, 3), (10, 3)]
+    parts = decontaminate.item_parts(spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert all(32 <= len(r.question) + len(r.answer) <= 64 for r in parts)
+
+
 def test_retrieval_equals_scoring_every_item(spark, exam):
     items = spark.createDataFrame(exam, "item_id bigint, text string")
     index = next(iter(decontaminate.index_shards(items))).value

@@ -14,10 +14,14 @@ What is retrieved is then verified in word order: the trigrams of the item's
 question and of its answer must both be found in the passage. The answer is the
 last line, or the last sentence of a single line.
 
-An item of more than ``PART_WORDS`` words is indexed in parts, and passages
-overlap by as much, so every part that a document holds lies within a passage.
-The index is built by Spark and sent out in shards of at most about
-``SHARD_PARTS`` parts; documents are scanned once per shard and never shuffled.
+An item of more than ``PART_WORDS`` words is indexed in equal parts, and
+passages overlap by as much, so every part that a document holds lies within a
+passage. Parts only retrieve: the whole question and the whole answer must be
+found in the words that the item would fill around the parts retrieved. Of an
+item without an answer, a part is enough.
+The index is built by Spark and sent out in shards of about ``SHARD_PARTS``
+parts, an item's all in one; documents are scanned once per shard and never
+shuffled.
 """
 
 from __future__ import annotations
@@ -80,27 +84,30 @@ def overlap(wanted: list[str], passage: set[tuple[str, ...]]) -> float:
 
 
 def item_parts(items: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """``item_id, part, question, answer`` (word lists) of every item.
+    """``item_id, item_text, part, question, answer`` (word lists) of every item.
 
-    A part's question and answer are what it holds of the item's. Items
-    without a word are left out.
+    A part's question and answer are what it holds of the item's; ``item_text``
+    is a digest that tells texts of one id apart. Parts of an item differ by a
+    word at most. Items without a word are left out.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for item, text in zip(batch["item_id"], batch["text"]):
+            for item, digest, text in zip(batch["item_id"], batch["item_text"], batch["text"]):
                 question, answer = question_and_answer(text or "")
                 both = question + answer
-                for part, at in enumerate(range(0, len(both), PART_WORDS)):
-                    end = min(at + PART_WORDS, len(both))
+                parts = -(-len(both) // PART_WORDS)
+                for part in range(parts):
+                    at, end = part * len(both) // parts, (part + 1) * len(both) // parts
                     cut = min(max(len(question), at), end)
-                    rows.append((item, part, both[at:cut], both[cut:end]))
-            yield pd.DataFrame(rows, columns=["item_id", "part", "question", "answer"])
+                    rows.append((item, digest, part, both[at:cut], both[cut:end]))
+            yield pd.DataFrame(rows, columns=["item_id", "item_text", "part", "question", "answer"])
 
     kind = items.schema[id_column].dataType.simpleString()
-    schema = f"item_id {kind}, part int, question array<string>, answer array<string>"
-    return items.select(F.col(id_column).alias("item_id"), F.col(text_column).alias("text")).mapInPandas(run, schema)
+    schema = f"item_id {kind}, item_text string, part int, question array<string>, answer array<string>"
+    rows = items.select(F.col(id_column).alias("item_id"), F.col(text_column).alias("text"))
+    return rows.withColumn("item_text", F.sha2(F.coalesce("text", F.lit("")), 256)).distinct().mapInPandas(run, schema)
 
 
 class BlockMaxIndex:
@@ -121,6 +128,17 @@ class BlockMaxIndex:
                 row = self.ids[term]
                 self.most[row, i // block] = max(self.most[row, i // block], value)
         self.bound = self.most.max(axis=1) if blocks else np.zeros(1, np.float32)
+        # Per item of several parts its question and answer, and per part of it
+        # how many of the item's words lie ahead of it.
+        self.whole: dict[tuple, tuple[list[str], list[str]]] = {}
+        self.ahead: dict[tuple, int] = {}
+        split = {p[4:] + p[:1] for p in parts if p[1] > 0}
+        for item, part, question, answer, text in sorted(parts, key=lambda p: p[1]):
+            if (text, item) in split:
+                asked, answered = self.whole.setdefault((text, item), ([], []))
+                self.ahead[text, item, part] = len(asked) + len(answered)
+                asked += question
+                answered += answer
 
     def search(self, terms: np.ndarray, found: set[str], least: float) -> list[tuple[int, float]]:
         """All parts that score ``least`` or more, with their score."""
@@ -134,8 +152,8 @@ class BlockMaxIndex:
         return hits
 
     def hits(self, text: str | None, least: float, least_overlap: float) -> list[tuple]:
-        """Verified parts in a text: (item, part, passage start, score, question
-        overlap, answer overlap), each with its best passage."""
+        """Verified items in a text: (item, part, passage start, score, question
+        overlap, answer overlap), each with its best passage and its part there."""
         found = words(text)
         if not found or not self.parts:
             return []
@@ -144,6 +162,7 @@ class BlockMaxIndex:
         ends = np.minimum(starts + PASSAGE_WORDS, len(found))
         sums = np.concatenate([[0.0], np.cumsum(self.bound[ids], dtype=np.float64)])
         best: dict[tuple, tuple] = {}
+        long: dict[tuple, list[tuple]] = {}
         for at in np.flatnonzero(sums[ends] - sums[starts] >= least - 1e-4):
             start, end = starts[at], ends[at]
             terms = np.unique(ids[start:end])
@@ -153,20 +172,53 @@ class BlockMaxIndex:
                 continue
             there = _passage_grams(passage)
             for i, score in retrieved:
-                item, part, question, answer = self.parts[i]
-                asked, answered = overlap(question, there), overlap(answer, there)
+                item, part, question, answer, text_digest = self.parts[i]
+                asked = overlap(question, there)
+                if (text_digest, item) in self.whole:
+                    long.setdefault((text_digest, item), []).append((part, int(start), float(score), asked))
+                    continue
+                answered = overlap(answer, there)
                 if min(asked, answered) >= least_overlap:
                     hit = (item, part, int(start), float(score), asked, answered)
-                    if (item, part) not in best or best[item, part][3] < score:
-                        best[item, part] = hit
+                    if item not in best or best[item][3] < score:
+                        best[item] = hit
+        for key, retrieved in long.items():
+            hit = self._verified(key, retrieved, found, least_overlap)
+            if hit and (hit[0] not in best or best[hit[0]][3] < hit[3]):
+                best[hit[0]] = hit
         return list(best.values())
 
+    def _verified(self, key: tuple, retrieved: list[tuple], found: list[str], least_overlap: float) -> tuple | None:
+        """The hit of an item of several parts, some of them retrieved."""
+        question, answer = self.whole[key]
+        if not answer:
+            good = [r for r in retrieved if r[3] >= least_overlap]
+            if not good:
+                return None
+            part, start, score, asked = max(good, key=lambda r: (r[2], -r[1]))
+            return key[1], part, start, score, asked, 1.0
+        # The words that the item would fill around the parts retrieved.
+        size, there, done = len(question) + len(answer), set(), 0
+        for low, high in sorted(
+            (max(start - self.ahead[*key, part], 0), start + PASSAGE_WORDS + size - self.ahead[*key, part])
+            for part, start, _, _ in retrieved
+        ):
+            if high > done:
+                # A trigram may begin in the words of the stretch before.
+                there |= _passage_grams(found[max(low, done - GRAM + 1) : high])
+                done = high
+        asked, answered = overlap(question, there), overlap(answer, there)
+        if min(asked, answered) < least_overlap:
+            return None
+        part, start, score, _ = max(retrieved, key=lambda r: (r[2], -r[1]))
+        return key[1], part, start, score, asked, answered
+
 
 def index_shards(
     items: DataFrame, id_column: str = "item_id", text_column: str = "text", shard_parts: int = SHARD_PARTS
 ) -> Iterator[Broadcast]:
-    """BM25 indexes of all items, each broadcast with at most about
-    ``shard_parts`` parts of at most ``PART_WORDS`` words."""
+    """BM25 indexes of all items, each broadcast with about ``shard_parts`` parts
+    of at most ``PART_WORDS`` words; parts of one item are not separated."""
     spark = items.sparkSession
     parts = stored(item_parts(items, id_column, text_column), "item-parts")
     total = parts.agg(F.count("*").alias("parts"), F.avg(F.size("question") + F.size("answer")).alias("words")).first()
@@ -174,11 +226,12 @@ def index_shards(
         return
     terms = parts.select(
         "item_id",
+        "item_text",
         "part",
         (F.size("question") + F.size("answer")).alias("words"),
         F.explode(F.concat("question", "answer")).alias("term"),
     )
-    counted = terms.groupBy("item_id", "part", "term", "words").agg(F.count("*").alias("times"))
+    counted = terms.groupBy("item_id", "item_text", "part", "term", "words").agg(F.count("*").alias("times"))
     held_by = counted.groupBy("term").agg(F.count("*").alias("holders"))
     idf = F.log(1 + (total["parts"] - F.col("holders") + 0.5) / (F.col("holders") + 0.5))
     times = F.col("times") * (K1 + 1) / (
@@ -186,20 +239,20 @@ def index_shards(
     )
     weighted = (
         counted.join(held_by, "term")
-        .groupBy("item_id", "part")
+        .groupBy("item_id", "item_text", "part")
         .agg(F.collect_list(F.struct("term", (idf * times).alias("weight"))).alias("weights"))
     )
     shards = -(-total["parts"] // shard_parts)
-    shard = F.pmod(F.xxhash64("item_id", "part"), F.lit(shards)).alias("shard")
-    ready = stored(parts.join(weighted, ["item_id", "part"]).select("*", shard), "item-weights")
+    shard = F.pmod(F.xxhash64("item_id", "item_text"), F.lit(shards)).alias("shard")
+    ready = stored(parts.join(weighted, ["item_id", "item_text", "part"]).select("*", shard), "item-weights")
     for number in range(shards):
         # About shard_parts rows of at most PART_WORDS words.
-        rows = ready.where(F.col("shard") == number).orderBy("item_id", "part").collect()
+        rows = ready.where(F.col("shard") == number).orderBy("item_id", "item_text", "part").collect()
         own = []
         for row in rows:
             whole = sum(w["weight"] for w in row["weights"])
             own.append({w["term"]: w["weight"] / whole for w in row["weights"]})
-        held = [(r["item_id"], r["part"], r["question"], r["answer"]) for r in rows]
+        held = [(r["item_id"], r["part"], r["question"], r["answer"], r["item_text"]) for r in rows]
         yield spark.sparkContext.broadcast(BlockMaxIndex(held, own))
 
 
@@ -256,9 +309,10 @@ def contaminated(
     least_score: float = LEAST_SCORE,
     least_overlap: float = LEAST_OVERLAP,
 ) -> DataFrame:
-    """One row per document and item part it holds: doc_id, item_id, part,
+    """One row per document and item it holds: doc_id, item_id, part,
     passage_start (word number), score, question_overlap, answer_overlap.
 
+    ``part``, ``passage_start`` and ``score`` are of the part that scores most.
     Documents without such a passage have no row. A NULL or blank text or item
     holds nothing; two equal items are both found; a repeated document is
     listed as often as it occurs.
