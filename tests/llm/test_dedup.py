@@ -188,6 +188,30 @@ def test_repeats_are_removed(spark, mixed, monkeypatch, salted):
     assert sum(r.n_removed for r in found) > 1_000
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_rows_that_share_an_id_keep_their_passage(spark, monkeypatch, salted):
+    if salted:
+        monkeypatch.setattr(substrings, "SAMPLE_STEP", 1)
+        monkeypatch.setattr(substrings, "FREQUENT_IN_SAMPLE", 2)
+    own, shared = " ".join(prose(1, 60)), " ".join(prose(2, 60))
+    rows = [(5, own), (5, own), (6, shared + " " + own), (6, shared), (6, shared), (7, "a " + shared), (7, "a " + shared)]
+    found = substrings.remove_repeats(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found) == removed(rows, 20)
+    assert [r.kept_text for r in found if r.doc_id == 5] == [own, own]
+
+
+def test_a_shared_id_is_remembered_over_batches():
+    import pandas as pd
+
+    rows = [(1, 5), (1, 5), (1, 6), (2, 4), (2, 4), (2, 7)]
+    frame = pd.DataFrame([(9, -1, x, d) for x, d in rows], columns=["anchor", "salt", "extension", "doc_id"])
+    for cuts in range(2**5):
+        edges = [0, *[i + 1 for i in range(5) if cuts >> i & 1], 6]
+        marks = pd.concat(substrings._settle(frame.iloc[a:b].reset_index(drop=True) for a, b in zip(edges, edges[1:])))
+        found = set(zip(marks["extension"], marks["doc_id"], marks["state"]))
+        assert found == {(1, 5, "open"), (1, 6, "repeat"), (2, 4, "open"), (2, 7, "repeat")}
+
+
 @pytest.mark.parametrize(
     "operator",
     [

@@ -170,6 +170,7 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ``state`` is "repeat" where the document is not the first of its extension,
     "open" where it is and the anchor has several extensions, and "salted"
     where a frequent anchor's first documents per salt are still to be compared.
+    Rows that share the first document's id are all of the first document.
     Only the row before and one row that waits are remembered.
     """
     before: tuple | None = None
@@ -185,10 +186,17 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if before is not None:
             new_run[0] = (anchor[0], salt[0]) != before[:2]
             new_class[0] = new_run[0] or extension[0] != before[2]
+        # The document that each row's class begins with, maybe in the batch before.
+        ids = batch["doc_id"].to_numpy()
+        start = np.maximum.accumulate(np.where(new_class, np.arange(len(ids)), -1))
+        heads = ids[np.maximum(start, 0)]
+        own = ids == heads
+        if before is not None:
+            own = np.where(start < 0, ids == before[3], own)
         run = np.cumsum(new_run)  # run 0 goes on from the batch before
         count = np.bincount(run[new_class], minlength=run[-1] + 1)
         count[0] += classes
-        state = np.where(~new_class, "repeat", np.where(salt >= 0, "salted", np.where(count[run] > 1, "open", "")))
+        state = np.where(~new_class & ~own, "repeat", np.where(salt >= 0, "salted", np.where(count[run] > 1, "open", "")))
         marks = batch[["doc_id", "anchor", "extension"]].assign(state=state)
         if waiting is not None and count[0] > 1:
             yield waiting.assign(state="open")
@@ -198,7 +206,7 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classes = int(count[run[-1]])
         if classes == 1 and salt[-1] < 0 and (lone := np.flatnonzero((run == run[-1]) & new_class)).size:
             waiting = marks.iloc[lone[:1]]
-        before = (anchor[-1], salt[-1], extension[-1])
+        before = (anchor[-1], salt[-1], extension[-1], heads[-1] if start[-1] >= 0 else before[3])
 
 
 def _marks(rows: DataFrame, window: int, seed: int) -> DataFrame:
