@@ -129,6 +129,18 @@ def test_similar_texts_form_groups(spark, mixed, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {i for i in ids if expected[i] == i}
 
 
+def test_near_copies_go_row_by_row(spark):
+    a, b, c = (" ".join(prose(i, 200)) for i in range(3))
+    rows = [(1, a), (2, a + " more"), (2, b), (None, a + " again"), (None, b + " again"), (None, c), (3, None), (4, "")]
+    kept = simhash.keep_one_of_group(table(spark, rows)).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(1, a), (2, b), (None, c), (3, None)}
+    found = simhash.near_duplicate_groups(table(spark, rows))
+    assert found.columns == ["doc_id", "component_id"]
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found.collect()) == [
+        (0, 0), (0, 1), (0, 2), (1, 1), (2, 1), (2, 2), (3, 3), (4, 3),
+    ]
+
+
 def test_lengthened_and_cut_copies_are_all_found(spark):
     draw, rows = random.Random(8), []
     for i in range(40):

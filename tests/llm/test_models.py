@@ -55,6 +55,17 @@ def test_quality_is_right_on_documents_without_labels(spark, labelled):
     assert found[1_001].low_site < 0.5 < found[next(i for i, _, _, s in rows if s == "loud.example")].low_site
 
 
+def test_rejected_rows_go_one_by_one(spark, labelled):
+    rows, labels, _ = labelled
+    loud = next(r for r in rows[:600] if "!!" in r[1])
+    good = next(r for r in rows[:600] if "!!" not in r[1] and "nasty" not in r[1])
+    more = [(None, *loud[1:]), (None, *good[1:]), (2_000, *loud[1:]), (2_000, *good[1:])]
+    kept = quality.keep_good(docs_of(spark, rows + more), spark.createDataFrame(labels, LABELS))
+    assert [(r.doc_id, r.text) for r in kept.where("doc_id IS NULL OR doc_id = 2000").orderBy("doc_id").collect()] == [
+        (None, good[1]), (2_000, good[1]),
+    ]
+
+
 def test_without_labels_nothing_is_rejected(spark, labelled):
     docs = docs_of(spark, labelled[0][:20])
     found = quality.classify(docs, spark.createDataFrame([], LABELS)).collect()

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import attach, map_rows, stored
@@ -230,6 +230,15 @@ def _weight(groups: DataFrame, parent_rate, columns: tuple[str, str, str]) -> tu
     return rate, min(max(weight, LEAST_WEIGHT), MOST_WEIGHT)
 
 
+def _site(column: str) -> Column:
+    name = F.col(column).cast("string")
+    return F.when(name.isNull(), "-").otherwise(F.concat(F.lit("+"), name))
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
@@ -248,6 +257,19 @@ def classify(
     empty. Rows that repeat an id are listed as often as they occur. Without
     labels the evidence is zero and nothing is rejected.
     """
+    return _classified(docs, labels, host, section, id_column, text_column, models).drop("digest")
+
+
+def _classified(
+    docs: DataFrame,
+    labels: DataFrame,
+    host: str,
+    section: str,
+    id_column: str,
+    text_column: str,
+    models: dict[str, Evidence] | None = None,
+) -> DataFrame:
+    """What ``classify`` gives, and the ``digest`` of the text."""
     models = fit(docs, labels, id_column, text_column) if models is None else models
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -255,7 +277,7 @@ def classify(
         models = shared.value
         for batch in batches:
             seen = [_seen(t) for t in batch["text"]]
-            out = {c: batch[c] for c in ("doc_id", "host", "section")}
+            out = {c: batch[c] for c in ("doc_id", "host", "section", "digest")}
             for target, model in models.items():
                 log_ratio = np.array([model.log_ratio(*s) for s in seen], float)
                 out[f"{target}_evidence"] = log_ratio
@@ -263,18 +285,15 @@ def classify(
                 out[f"{target}_own"] = odds / (1 + odds)
             yield pd.DataFrame(out)
 
-    def site(column: str):
-        name = F.col(column).cast("string")
-        return F.when(name.isNull(), "-").otherwise(F.concat(F.lit("+"), name))
-
     numbers = ", ".join(f"{t}_evidence double, {t}_own double" for t in TARGETS)
     texts = docs.select(
         F.col(id_column).alias("doc_id"),
-        site(host).alias("host"),
-        site(section).alias("section"),
+        _site(host).alias("host"),
+        _site(section).alias("section"),
         F.col(text_column).alias("text"),
+        _digest(F.col(text_column)).alias("digest"),
     )
-    rows = stored(map_rows(texts, evidence, f"host string, section string, {numbers}"), "evidence")
+    rows = stored(map_rows(texts, evidence, f"host string, section string, digest string, {numbers}"), "evidence")
 
     sums = [F.count("*").alias("n")]
     for t in TARGETS:
@@ -314,6 +333,7 @@ def classify(
         "section",
         *[c.format(t) for t in TARGETS for c in ("{}_evidence", "{}_site", "p_{}")],
         (rejected & F.lit(learned)).alias("rejected"),
+        "digest",
     )
 
 
@@ -325,8 +345,15 @@ def keep_good(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """Rows of ``docs``, unchanged, that are not rejected. Rows that share an
-    id stay or go together."""
-    found = classify(docs, labels, host, section, id_column, text_column)
-    gone = found.where("rejected").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_column] == gone["gone_id"], "left_anti")
+    """Rows of ``docs``, unchanged, that are not rejected. Each row is judged by
+    itself, also where rows share an id or have none."""
+    found = _classified(docs, labels, host, section, id_column, text_column).where("rejected")
+    names = {"doc_id": "gone_id", "digest": "gone_digest", "host": "gone_host", "section": "gone_section"}
+    gone = found.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+    match = (
+        docs[id_column].eqNullSafe(gone["gone_id"])
+        & (_digest(docs[text_column]) == gone["gone_digest"])
+        & (_site(host) == gone["gone_host"])
+        & (_site(section) == gone["gone_section"])
+    )
+    return docs.join(gone, match, "left_anti")

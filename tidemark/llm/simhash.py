@@ -33,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import attach, map_rows, stored
@@ -281,8 +281,13 @@ def _text_key(text: str | None) -> int:
     return key - (key >> 63 << 64)
 
 
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def _lanes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id``, a 64-bit ``text_key`` of the words, and the candidate lanes."""
+    """``doc_id``, ``digest`` of the text, a 64-bit ``text_key`` of the words, and
+    the candidate lanes."""
     names = [f"lane{i}" for i in range(LANES)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,12 +298,14 @@ def _lanes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 for i, lane in enumerate(lanes):
                     # The set of word pairs: a repeated line does not outweigh the rest.
                     lane.append(fingerprint(np.unique(shingle_hashes(text, PAIR_WORDS, SEED + i))))
-            columns = {"doc_id": batch["doc_id"], "text_key": keys}
+            columns = {"doc_id": batch["doc_id"], "digest": batch["digest"], "text_key": keys}
             yield pd.DataFrame(columns | {n: _signed(v) for n, v in zip(names, lanes)})
 
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), _digest(F.col(text_column)).alias("digest")
+    )
     more = ", ".join(f"{n} bigint" for n in names)
-    return map_rows(rows, run, f"text_key bigint, {more}")
+    return map_rows(rows, run, f"digest string, text_key bigint, {more}")
 
 
 def _loose_links(nodes: DataFrame) -> DataFrame:
@@ -486,12 +493,11 @@ def _verified_links(
     docs: DataFrame, candidates: DataFrame, id_column: str, text_column: str, words: int, similarity: float
 ) -> DataFrame:
     """Links that connect texts of a candidate group as all pairs of at least
-    ``similarity`` would. ``candidates`` has ``head`` (an id), ``text_key``, ``root``."""
+    ``similarity`` would. ``candidates`` has ``text_key``, ``root`` and the ``id``
+    and ``digest`` of a row that has the text."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            # An id may stand on several rows; only the text that is meant counts.
-            batch = batch[[_text_key(t) == n for t, n in zip(batch["text"], batch["node"])]]
             sets = []
             for text in batch["text"]:
                 found = np.unique(shingle_hashes(text, words)).view(np.int64)
@@ -506,9 +512,13 @@ def _verified_links(
                 links += [(ids[x], ids[y]) for x, y in forest(len(ids), near)]
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    texts = docs.select(F.col(id_column).alias("head"), F.col(text_column).alias("text"))
+    texts = docs.select(
+        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), _digest(F.col(text_column)).alias("text_digest")
+    )
+    # An id may stand on several rows; only the text that is meant counts.
+    meant = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_digest") == F.col("digest"))
     sets = stored(
-        texts.join(candidates, "head")
+        texts.join(candidates, meant)
         .select(F.col("text_key").alias("node"), "root", "text")
         .mapInPandas(hashed, "node bigint, root bigint, shingles array<bigint>")
         .dropDuplicates(["node"]),
@@ -541,13 +551,23 @@ def near_duplicate_groups(
     all pairs of different texts are verified on their shingles, block by block.
     Texts of the same words are one node. NULL and blank texts have the same
     (empty) words and form a group. Rows that repeat an id or a text are listed
-    as often as they occur.
+    as often as they occur. A NULL id is no component: that is the smallest other
+    id, and NULL where no row of the group has one.
     """
+    return _similar_groups(docs, id_column, text_column, words, similarity).select("doc_id", "component_id")
+
+
+def _similar_groups(
+    docs: DataFrame, id_column: str, text_column: str, words: int, similarity: float
+) -> DataFrame:
+    """``doc_id, digest, text_key, component_id`` of every row."""
     rows = stored(_lanes(docs, id_column, text_column), "lanes")
     lanes = [f"lane{i}" for i in range(LANES)]
     nodes = stored(
         rows.groupBy("text_key", *lanes).agg(
-            F.min("doc_id").alias("head"), F.count("*").alias("copies")
+            F.min("doc_id").alias("head"),
+            F.count("*").alias("copies"),
+            F.min(F.struct("doc_id", "digest")).alias("row"),
         ),
         "text-nodes",
     )
@@ -555,12 +575,12 @@ def near_duplicate_groups(
         _prefix_links(docs, id_column, text_column, words, similarity)
     )
     loose = connected_components(proposed)
-    candidates = nodes.select("head", "text_key").join(
+    candidates = nodes.select("text_key", F.col("row.doc_id").alias("id"), "row.digest").join(
         loose.select(F.col("node").alias("text_key"), "root"), "text_key"
     )
     links = _verified_links(docs, candidates, id_column, text_column, words, similarity)
     found = connected_components(links)
-    return _labelled(rows.select("doc_id", "text_key"), nodes.drop(*lanes), found, "text_key")
+    return _labelled(rows.drop(*lanes), nodes.drop(*lanes, "row"), found, "text_key")
 
 
 def keep_one_of_group(
@@ -570,8 +590,16 @@ def keep_one_of_group(
     words: int = SHINGLE_WORDS,
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """Rows of ``docs``, unchanged, with the smallest id of their group."""
-    groups = near_duplicate_groups(docs, id_column, text_column, words, similarity)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    gone = gone.distinct()
-    return docs.join(gone, docs[id_column] == gone["gone_id"], "left_anti")
+    """Rows of ``docs``, unchanged, with the smallest id of their group.
+
+    Of rows that share an id those go whose text is in the group of a smaller
+    one. A row without an id stays only if no row of its group has one.
+    """
+    groups = _similar_groups(docs, id_column, text_column, words, similarity)
+    gone = (
+        groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"))
+        .distinct()
+    )
+    match = docs[id_column].eqNullSafe(gone["gone_id"]) & (_digest(docs[text_column]) == gone["gone_digest"])
+    return docs.join(gone, match, "left_anti")
