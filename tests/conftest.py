@@ -2,14 +2,14 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime, timezone
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 from tidemark.schema import RAW_EVENTS  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
+from timing import utc  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -50,10 +50,6 @@ def conf(spark):
             spark.conf.set(name, value)
 
 
-def utc(text: str) -> datetime:
-    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
-
-
 @pytest.fixture
 def events(spark):
     """Raw events from (user, time text) pairs; the product numbers the rows."""

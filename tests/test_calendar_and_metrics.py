@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 import pytest
-from conftest import utc
+from timing import utc
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import utc
+from timing import utc
 
 from tidemark.operators import ledger
 from tidemark.schema import LEDGER

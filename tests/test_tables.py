@@ -5,7 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
-from conftest import utc
+from timing import utc
 from pyspark.sql import functions as F
 
 from tidemark.plans.weekly import sessionized_events
