@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     decontaminate,
     exact_dedup,
     language,
     pieces,
     quality,
+    runs,
     sharding,
     simhash,
     substrings,
     tokens,
+    toxicity,
     warc,
 )
 from tidemark.session import scratch_path
@@ -110,6 +113,47 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_counts(_table(spark, sf_dir, "documents"))
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where in a tenth of the documents the words from some
+    place on repeat with a period that the document's number gives."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.coalesce(number % 10 == 0, F.lit(False))
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    size = F.size("words").cast("bigint")
+    listed = (
+        docs.select("doc_id", "text", words.alias("words"), F.floor(number / 10).alias("g"))
+        .withColumn("a", F.when(size > 0, F.col("g") % size))
+        .withColumn("p", 1 + F.floor((size - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+    at = lambda i: (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    planted = F.transform("words", lambda w, i: F.when(i >= F.col("a"), F.get(F.col("words"), at(i))).otherwise(w))
+    return listed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_period(_table(spark, sf_dir, "documents")))
+    return found.withColumn("best", runs.longest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        runs.digest_of_runs(F.col("runs")).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = toxicity.classify(docs, labels, ~toxicity.held_out())
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "vote", "evidence")
+
+
 _QUERIES = (
     op1_token_counts,
     op2_sentencepiece,
@@ -121,6 +165,9 @@ _QUERIES = (
     op8_sharding,
     op9_warc,
     op10_decontamination,
+    op11_alignment,
+    op12_periodic_runs,
+    op13_toxicity,
 )
 
 
