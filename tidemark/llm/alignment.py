@@ -24,25 +24,29 @@ broadcast of the ``HOT_KEYS`` most common ones, and nothing else is broadcast.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import attach, map_rows, stored
+from tidemark.llm.tokens import PATTERN
 
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 # A tokens in a stretch, and how many ends behind it may be tried for a cut.
-STRETCH, TRIES = 512, 64
+STRETCH, TRIES = 256, 8
 # Bytes of text merged together; a longer document goes alone.
-BYTES_AT_ONCE = 4_000_000
+BYTES_AT_ONCE = 2_000_000
 # A group with more links than this is linked by distinct ids and their counts.
 WIDE_GROUP = 4_096
 # A pair of ids in one number: an id is below this.
@@ -70,29 +74,23 @@ class Tokenizer:
 
 @lru_cache(maxsize=2)
 def byte_level(path: str = BYTE_LEVEL) -> Tokenizer:
-    # A task has one core.
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import tokenizers
-
-    library = tokenizers.Tokenizer.from_file(path)
-    library.encode_special_tokens = True  # their strings in a text are plain text
+    """Byte pairs of a byte-level vocabulary, merged by falling rank as its file
+    says; a token's number is its rank. Special tokens are left out: their
+    strings in a text are plain text."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
     alphabet = byte_alphabet()
-    vocabulary = library.get_vocab(with_added_tokens=True)
-    spelled = [b""] * (max(vocabulary.values()) + 1)
-    for token, number in vocabulary.items():
-        spelled[number] = bytes(alphabet.get(c, 0) for c in token)
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        found = library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
-
-    return Tokenizer(encode, spelled)
+    special = {token["content"] for token in described["added_tokens"]}
+    ranks = {bytes(map(alphabet.__getitem__, t)): n for t, n in described["model"]["vocab"].items() if t not in special}
+    library = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spelled = [b""] * (max(ranks.values()) + 1)
+    for token, number in ranks.items():
+        spelled[number] = token
+    return Tokenizer(lambda texts: [library.encode_ordinary(" " + t) for t in texts], spelled)
 
 
 @lru_cache(maxsize=2)
 def pieces(path: str = PIECES) -> Tokenizer:
-    import sentencepiece
-
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     spelled = []
     for number in range(library.get_piece_size()):
@@ -163,8 +161,13 @@ def links(groups: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.
     """Linked ids of closed groups: the group's first A token, the pair as one
     number, and how many links it stands for."""
     from_a, to_a, from_b, to_b = groups
-    wide = (to_a - from_a) * (to_b - from_b) > WIDE_GROUP
-    out = [_each_link(groups[:, ~wide], ids_a, ids_b)]
+    size = (to_a - from_a) * (to_b - from_b)
+    single, wide = size == 1, size > WIDE_GROUP
+    alone_a, alone_b = from_a[single], from_b[single]
+    out = [
+        (alone_a, ids_a[alone_a] * ID_SPAN + ids_b[alone_b], np.ones(len(alone_a), np.int64)),
+        _each_link(groups[:, ~single & ~wide], ids_a, ids_b),
+    ]
     for a0, a1, b0, b1 in groups[:, wide].T:
         a, times_a = np.unique(ids_a[a0:a1], return_counts=True)
         b, times_b = np.unique(ids_b[b0:b1], return_counts=True)
@@ -191,18 +194,18 @@ class Merged:
     def __init__(self, found: list[tuple[list[int], list[int]]], first: Tokenizer, second: Tokenizer):
         self.count_a = np.array([len(a) for a, _ in found], np.int64)
         self.count_b = np.array([len(b) for _, b in found], np.int64)
-        self.ids_a = np.array([i for a, _ in found for i in a], np.int64)
-        self.ids_b = np.array([i for _, b in found for i in b], np.int64)
+        self.ids_a = np.fromiter(chain.from_iterable(a for a, _ in found), np.int64, self.count_a.sum())
+        self.ids_b = np.fromiter(chain.from_iterable(b for _, b in found), np.int64, self.count_b.sum())
         ends_a, ends_b = np.cumsum(first.sizes[self.ids_a]), np.cumsum(second.sizes[self.ids_b])
         self.last_a, self.last_b = np.cumsum(self.count_a), np.cumsum(self.count_b)
         some = self.count_a > 0
-        groups, linked = [np.zeros((4, 0), np.int64)], [(np.zeros(0, np.int64),) * 3]
-        for closed in lockstep(ends_a, ends_b, stretches(ends_a, ends_b, self.last_a[some], self.last_b[some])):
-            groups.append(closed)
-            linked.append(links(closed, self.ids_a, self.ids_b))
-        joined = np.concatenate(groups, axis=1)
-        self.groups = joined[:, np.argsort(joined[0], kind="stable")]
-        at, self.pairs, self.times = (np.concatenate(parts) for parts in zip(*linked))
+        begin = stretches(ends_a, ends_b, self.last_a[some], self.last_b[some])
+        closed = np.concatenate([np.zeros((4, 0), np.int64), *lockstep(ends_a, ends_b, begin)], axis=1)
+        at = np.full(len(self.ids_a), -1)
+        at[closed[0]] = np.arange(closed.shape[1])
+        self.groups = closed[:, at[at >= 0]]
+        # What each step emits is a range of A and of B tokens, all linked.
+        at, self.pairs, self.times = links(self.groups, self.ids_a, self.ids_b)
         self.link_owner = self.owner(at)
         self.n_groups = np.bincount(self.owner(self.groups[0]), minlength=len(found))
         self.n_links = _sums(self.link_owner, self.times, len(found))
@@ -231,10 +234,12 @@ class Merged:
     def dictionary(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
         """The distinct pairs and how many documents hold each, then per
         document the places of its pairs among them and their links."""
-        pairs, place = np.unique(self.pairs, return_inverse=True)
-        keys, where = np.unique(self.link_owner * max(len(pairs), 1) + place, return_inverse=True)
+        place, pairs = pd.factorize(self.pairs)
+        where, keys = pd.factorize(self.link_owner * max(len(pairs), 1) + place)
         times = _sums(where, self.times, len(keys))
-        owner, place = np.divmod(keys, max(len(pairs), 1))
+        by = np.argsort(keys)
+        times = times[by]
+        owner, place = np.divmod(keys[by], max(len(pairs), 1))
         bounds = np.searchsorted(owner, np.arange(1, len(self.count_a)))
         return pairs, np.bincount(place, minlength=len(pairs)), np.split(place, bounds), np.split(times, bounds)
 
