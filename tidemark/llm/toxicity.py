@@ -40,6 +40,8 @@ FEATURES = 1_000
 LEAST_TEXTS, LEAST_CHI = 3, 30.0
 NEIGHBOURS = 15
 BLOCK = 64
+# Blocks opened first.
+OPENED = 8
 # Added to the distance of a neighbour, so that an equal text's vote is finite.
 NEAREST = 0.05
 THRESHOLD = 0.5
@@ -62,26 +64,26 @@ def examples(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> DataFr
     """``example`` (the id), ``text`` and ``toxic`` of at most ``most`` labelled,
     distinct texts.
 
-    Of an id or a text with several labels the highest counts. Rows without an
-    id or a label, and labels without a document, teach nothing.
+    Of an id or a text with several labels the highest counts, and of an id with
+    several texts one of them. Rows without an id or a label, and labels without
+    a document, teach nothing.
     """
     labelled = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
         .agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
-        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
     known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # At most EXAMPLES ids and numbers.
-    chosen = known.join(F.broadcast(labelled), "doc_id")
-    texts = chosen.groupBy(F.sha2("text", 256).alias("digest")).agg(
-        F.min_by(F.struct("doc_id", "text"), "doc_id").alias("row"), F.max("toxic").alias("toxic")
+    chosen = known.join(F.broadcast(labelled), "doc_id").withColumn("digest", F.sha2("text", 256))
+    of_ids = chosen.groupBy("doc_id").agg(F.min_by(F.struct("digest", "text", "toxic"), "digest").alias("row"))
+    texts = of_ids.groupBy("row.digest").agg(
+        F.min_by(F.struct("doc_id", "row.text"), "doc_id").alias("first"), F.max("row.toxic").alias("toxic")
     )
-    # Rows that repeat an id may add texts.
-    few = texts.select("row.doc_id", "row.text", "toxic", "digest").orderBy(F.xxhash64("doc_id"), "digest").limit(most)
-    return stored(few.select(F.col("doc_id").alias("example"), "text", "toxic"), "toxic-examples")
+    return stored(texts.select(F.col("first.doc_id").alias("example"), "first.text", "toxic"), "toxic-examples")
 
 
 def telling_words(learned: DataFrame, most: int = FEATURES, least_chi: float = LEAST_CHI) -> list[str]:
@@ -152,7 +154,7 @@ class Postings:
     """Where a word occurs: examples and weights, cut by the blocks they lie in."""
 
     blocks: np.ndarray
-    cuts: np.ndarray
+    sizes: np.ndarray
     most: np.ndarray
     members: np.ndarray
     weights: np.ndarray
@@ -168,7 +170,6 @@ class ExampleIndex:
             return tuple(places[np.lexsort((places, -weights))][:3]), i
 
         self.order = np.array(sorted(range(len(vectors)), key=heaviest), np.int64)
-        self.block = block
         self.count = -(-len(vectors) // block)
         rows: dict[int, list[tuple[int, float]]] = {}
         for member, i in enumerate(self.order):
@@ -178,10 +179,8 @@ class ExampleIndex:
         for place, listed in rows.items():
             members = np.array([m for m, _ in listed], np.int64)
             weights = np.array([w for _, w in listed])
-            blocks, cuts = np.unique(members // block, return_index=True)
-            self.postings[place] = Postings(
-                blocks, np.append(cuts, len(members)), np.maximum.reduceat(weights, cuts), members, weights
-            )
+            blocks, cuts, sizes = np.unique(members // block, return_index=True, return_counts=True)
+            self.postings[place] = Postings(blocks, sizes, np.maximum.reduceat(weights, cuts), members, weights)
 
     def nearest(self, places: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of greatest cosine above zero, with it; of equal
@@ -190,21 +189,27 @@ class ExampleIndex:
         bound = np.zeros(self.count)
         for posting, weight in terms:
             bound[posting.blocks] += weight * posting.most
+        falling = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
         found, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable"):
-            # Rounding may tell a bound from the cosine that meets it.
-            if bound[block] <= 0 or (len(found) == k and bound[block] < cosines[-1] - 1e-9):
-                break
-            sums = np.zeros(self.block)
+        at, several = 0, OPENED
+        while at < len(falling):
+            if len(found) == k:
+                # The blocks that can still hold a nearer one, all at once.
+                # Rounding may tell a bound from the cosine that meets it.
+                several = np.count_nonzero(bound[falling[at:]] >= cosines[-1] - 1e-9)
+                if not several:
+                    break
+            opened = np.zeros(self.count, bool)
+            opened[falling[at : at + several]] = True
+            at, several = at + several, 2 * several
+            sums = np.zeros(len(self.order))
             for posting, weight in terms:
-                at = np.searchsorted(posting.blocks, block)
-                if at < len(posting.blocks) and posting.blocks[at] == block:
-                    span = slice(posting.cuts[at], posting.cuts[at + 1])
-                    sums[posting.members[span] - block * self.block] += weight * posting.weights[span]
-            some = np.flatnonzero(sums > 0)
+                some = np.repeat(opened[posting.blocks], posting.sizes)
+                sums[posting.members[some]] += weight * posting.weights[some]
+            hit = np.flatnonzero(sums)
             # Equal vectors must not differ by the order of their sums.
-            cosines = np.concatenate([cosines, np.round(sums[some], 12)])
-            found = np.concatenate([found, self.order[some + block * self.block]])
+            cosines = np.concatenate([cosines, np.round(sums[hit], 12)])
+            found = np.concatenate([found, self.order[hit]])
             keep = found != but
             found, cosines = found[keep], cosines[keep]
             best = np.lexsort((found, -cosines))[:k]
@@ -314,7 +319,8 @@ def classify(docs: DataFrame, labels: DataFrame, learn: Column | None = None) ->
     learned = examples(known, chosen)
     features = telling_words(learned)
     counted = stored(word_counts(rows, features), "toxic-words")
-    sent = docs.sparkSession.sparkContext.broadcast(fit(counted, learned, features))
+    model = fit(counted, learned, features)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = sent.value
@@ -326,14 +332,18 @@ def classify(docs: DataFrame, labels: DataFrame, learn: Column | None = None) ->
                     {"example": model.names[i], "cosine": float(c), "toxic": int(model.labels[i])}
                     for i, c in zip(found, cosines)
                 ]
-                score = model.score(vote)
-                answers.append((score, int(score >= THRESHOLD), None if np.isnan(vote) else vote, evidence))
-            columns = ("score", "predicted", "vote", "evidence")
+                answers.append((model.score(vote), None if np.isnan(vote) else vote, evidence))
+            columns = ("score", "vote", "evidence")
             yield pd.DataFrame({"doc_id": batch["doc_id"]} | dict(zip(columns, map(list, zip(*answers)))))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(
-        counted,
-        run,
-        f"score double, predicted int, vote double, evidence array<struct<example:{kind},cosine:double,toxic:int>>",
+    listed = f"array<struct<example:{kind},cosine:double,toxic:int>>"
+    some = map_rows(counted.where(F.size("places") > 0), run, f"score double, vote double, evidence {listed}")
+    others = counted.where(F.size("places") == 0).select(
+        "doc_id",
+        F.lit(model.without_words).alias("score"),
+        F.lit(None).cast("double").alias("vote"),
+        F.array().cast(listed).alias("evidence"),
     )
+    predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
+    return some.unionByName(others).select("doc_id", "score", predicted.alias("predicted"), "vote", "evidence")
