@@ -12,23 +12,24 @@ import sys
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.functions import clock  # noqa: E402
-from tidemark.operators import calendar, ledger, metrics, sessions, skew  # noqa: E402
-from tidemark.plans import pipeline, weekly  # noqa: E402
+from tidemark.operators import calendar, carried, content, ledger, mergeable, metrics, sessions, skew  # noqa: E402
+from tidemark.plans import extend, pipeline, weekly  # noqa: E402
 from tidemark.session import scratch_path, ship_package  # noqa: E402
-from tidemark.sources import catalog, publish, raw  # noqa: E402
+from tidemark.sources import catalog, publish, raw, versions  # noqa: E402
 from tidemark.sources.ledger_store import LedgerStore  # noqa: E402
 
 # Fixed values for the test data: it covers January 2024, and no user has more
 # than 99 events.
 WEEK_LOW, WEEK_HIGH = "2024-01-01", "2024-01-31"
 SKEWED_FROM = 80
-GAP_5M, GAP_12H = 300, 12 * 3600
+GAP_5M, GAP_12H, GAP_2D = 300, 12 * 3600, 2 * 86_400
+CUT_TIME = "2024-01-16 03:00:00"
 SLICE_DATE = "2024-01-15"
 RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
 
@@ -446,12 +447,12 @@ def _second_run(
 
 def batch_rerun_part_of_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First the events up to the 15th, then a folder that begins within the
-    15th and ends within the 20th, with two rows more of the 14th: no published
+    15th and goes on to the end, with some rows of the 14th twice: no published
     row is lost, and the second folder's other dates are built."""
     dated = _dated(spark, sf_dir)
     day, hour = F.substring("dt", 9, 2).cast("int"), F.hour("event_time")
     first = dated.where(day <= 15)
-    second = dated.where((day > 15) & (day <= 20) | (day == 15) & (hour >= 5))
+    second = dated.where((day > 15) | (day == 15) & (hour >= 5))
     more = dated.where(day == 14)
     twice = more.unionByName(more.where("product_id % 7 = 0")).where("product_id % 3 > 0")
     _, output = _second_run(spark, "batch_rerun_part", first, second.unionByName(twice))
@@ -485,6 +486,123 @@ def batch_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{output}-statistics").drop("run_id")
 
 
+def batch_rerun_late_event_gap2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a gap of two days, over dates whose users are silent."""
+    dated = _dated(spark, sf_dir)
+    early = dated.where(~((F.col("dt") == SLICE_DATE) & (F.col("product_id") % 2 == 1)))
+    _, output = _second_run(spark, "batch_rerun_late2d", early, dated, GAP_2D)
+    return _with_micros(publish.read_events(spark, output), "generated_session_id", "dt")
+
+
+# --- folders that follow one another -----------------------------------------
+
+
+def _extended(spark: SparkSession, name: str, parts: list[DataFrame], gap: int) -> tuple[str, LedgerStore]:
+    """A table filled from one folder of CSV files after the other."""
+    root = scratch_path(spark, name)
+    store = LedgerStore.at(f"{root}-ledger")
+    for turn, events in enumerate(parts):
+        raw.write_raw_csv(events, f"{root}-in{turn}")
+        extend.extend(
+            spark, input_dir=f"{root}-in{turn}", output_dir=f"{root}-out", store=store, gap=gap
+        )
+    return f"{root}-out", store
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All events in two, cut within a local date and within sessions."""
+    events = _events(spark, sf_dir)
+    early = F.col("event_time") < F.lit(CUT_TIME).cast("timestamp")
+    return [events.where(early), events.where(~early)]
+
+
+def batch_two_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions over the edge of two folders, the second read without the first."""
+    output, _ = _extended(spark, "batch_two_folders", _halves(spark, sf_dir), GAP_12H)
+    return _with_micros(versions.read_manifest(spark, output), "generated_session_id", "dt")
+
+
+def batch_late_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First all events but those of one date with odd numbers, then these, then
+    they again: later dates whose sessions they change are labelled anew."""
+    dated = _dated(spark, sf_dir)
+    late = (F.col("dt") == SLICE_DATE) & (F.col("product_id") % 2 == 1)
+    parts = [dated.where(~late), dated.where(late), dated.where(late)]
+    output, _ = _extended(spark, "batch_late_folder", parts, GAP_12H)
+    return _with_micros(versions.read_manifest(spark, output), "generated_session_id", "dt")
+
+
+def batch_two_folders_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    output, store = _extended(spark, "batch_two_folders_ledger", _halves(spark, sf_dir), GAP_12H)
+    counts = versions.manifest_counts(spark, output).withColumnRenamed("record_count", "published_count")
+    state = store.current(spark).withColumnRenamed("partition_date", "dt")
+    return state.join(counts, "dt").select("dt", "status", "record_count", "published_count")
+
+
+def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second publication that loses rows is refused; the table afterwards."""
+    path = scratch_path(spark, "publish_rollback")
+    table = _scratch_table(path)
+    catalog.ensure_table(spark, path, table)
+    labelled = _sessionized(spark, sf_dir, GAP_12H)
+    expected = {r["dt"]: r["record_count"] for r in metrics.daily_counts(labelled).collect()}
+    versions.publish_version(labelled, path, table, expected)
+    try:
+        versions.publish_version(labelled.where("product_id % 10 <> 3"), path, table, expected)
+        raise AssertionError("rows were lost unseen")
+    except versions.CountsDiffer:
+        return _with_micros(catalog.read_table(spark, table), "generated_session_id", "dt")
+
+
+def publish_manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the dates twice, the other half once, and a run that never ended."""
+    path = scratch_path(spark, "publish_manifest")
+    labelled = _sessionized(spark, sf_dir, GAP_12H)
+    early = labelled.where(F.col("dt") <= SLICE_DATE)
+    parts = (early.where("product_id % 2 = 0"), labelled.where(F.col("dt") > SLICE_DATE), early)
+    for part in parts:
+        expected = {r["dt"]: r["record_count"] for r in metrics.daily_counts(part).collect()}
+        versions.publish_to_manifest(part, path, expected)
+    publish.write_dates(early, f"{path}/{versions.VERSIONS}/run=unfinished")
+    return _with_micros(versions.read_manifest(spark, path), "generated_session_id", "dt")
+
+
+def ledger_plan_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dates finished; since then on every third day one row has another time."""
+    dated = _dated(spark, sf_dir)
+    name = "ledger_plan_content"
+    store = LedgerStore.at(scratch_path(spark, name))
+    store.create(spark)
+    counted = content.fingerprints(dated).withColumnRenamed("dt", "partition_date")
+    store.append(ledger.begin(counted.select("partition_date"), SEED_RUN, SEED_START, 1))
+    store.append(ledger.succeed(store.current(spark), counted, SEED_END, 2))
+    first = Window.partitionBy("dt").orderBy("product_id")
+    other = (F.row_number().over(first) == 1) & (F.substring("dt", 9, 2).cast("int") % 3 == 0)
+    moved = dated.withColumn("event_time", F.when(other, F.col("event_time") - F.expr("interval 1 microsecond")).otherwise(F.col("event_time")))
+    now = content.fingerprints(moved)
+    return ledger.plan(now, store.current(spark), metrics.daily_counts(dated)).select(
+        "dt", "source_count", "recorded_count", "action"
+    )
+
+
+# --- weekly counts from what dates keep --------------------------------------
+
+
+def wau_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly users, united from a written table of daily bitmaps."""
+    path = scratch_path(spark, "wau_from_bitmaps")
+    mergeable.user_bitmaps(_dated(spark, sf_dir)).write.partitionBy("dt").parquet(path)
+    daily = spark.read.schema("bucket bigint, users binary, dt string").parquet(path)
+    return _week_as_text(mergeable.users_per_week(daily))
+
+
+def wau_sessions_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sessions, summed from a written table of daily states."""
+    path = scratch_path(spark, "wau_sessions_additive")
+    carried.session_state(_sessionized(spark, sf_dir, GAP_12H)).write.partitionBy("dt").parquet(path)
+    return _week_as_text(mergeable.sessions_per_week(spark.read.schema(carried.STATE).parquet(path)))
+
+
 def _with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth event three times."""
     events = _events(spark, sf_dir)
@@ -550,6 +668,15 @@ _QUERIES = (
     batch_rerun_part_of_input,
     batch_rerun_late_event,
     batch_rerun_late_event_gap12h,
+    batch_rerun_late_event_gap2d,
+    batch_two_folders,
+    batch_two_folders_ledger,
+    batch_late_folder,
+    publish_rollback,
+    publish_manifest_roundtrip,
+    ledger_plan_content,
+    wau_from_bitmaps,
+    wau_sessions_additive,
     batch_statistics,
     session_flags_copies,
     session_flags_copies_hot,
@@ -702,6 +829,7 @@ def core_sql() -> dict[str, str]:
     published = f"SELECT {_EVENT}, generated_session_id, dt FROM sessionized"
     # CSV text holds whole seconds.
     truncated = _EVENT.replace("event_us", "sec * 1000000 AS event_us")
+    truncated_rows = f"SELECT {truncated}, generated_session_id, dt FROM sessionized"
     flags = "SELECT product_id, user_id, gap_seconds, is_new_session FROM flags"
     users = "SELECT user_id, count(*) AS event_count FROM events GROUP BY user_id"
     counts = "SELECT dt, record_count FROM daily"
@@ -775,10 +903,23 @@ FROM state""",
         "batch_run": five
         + f"SELECT {truncated}, generated_session_id, dt FROM sessionized",
         "batch_rerun_part_of_input": _DAILY
-        + "SELECT dt, record_count FROM daily WHERE CAST(substr(dt, 9, 2) AS INTEGER) <= 20",
+        + counts,
         "batch_rerun_late_event": five + f"SELECT {truncated}, generated_session_id, dt FROM sessionized",
         "batch_rerun_late_event_gap12h": half_day
         + f"SELECT {truncated}, generated_session_id, dt FROM sessionized",
+        "batch_rerun_late_event_gap2d": _sessions_sql(GAP_2D) + truncated_rows,
+        "batch_two_folders": half_day + truncated_rows,
+        "batch_late_folder": half_day + truncated_rows,
+        "batch_two_folders_ledger": _DAILY
+        + "SELECT dt, 'SUCCESS' AS status, record_count, record_count AS published_count FROM daily",
+        "publish_rollback": half_day + published,
+        "publish_manifest_roundtrip": half_day + published,
+        "ledger_plan_content": _DAILY
+        + "SELECT dt, record_count AS source_count, record_count AS recorded_count,"
+        " CASE WHEN CAST(substr(dt, 9, 2) AS INTEGER) % 3 = 0 THEN 'REBUILD_CHANGED' ELSE 'SKIP' END"
+        " AS action FROM daily",
+        "wau_from_bitmaps": f"SELECT week_start, wau_by_user FROM ({_wau_sql(GAP_12H)})",
+        "wau_sessions_additive": f"SELECT week_start, wau_by_session FROM ({_wau_sql(GAP_12H)})",
         "batch_statistics": five + _STATISTICS,
         "session_flags_copies": _sessions_sql(GAP_5M, "copies") + flags,
         "session_flags_copies_hot": _sessions_sql(GAP_5M, "copies") + flags,

@@ -23,6 +23,7 @@ STALE_RUN = "Restarted after IN_PROGRESS"
 BUILD = "BUILD"
 SKIP = "SKIP"
 REBUILD_GREW = "REBUILD_GREW"
+REBUILD_CHANGED = "REBUILD_CHANGED"
 REBUILD_MISSING = "REBUILD_MISSING"
 REBUILD_STALE = "REBUILD_STALE"
 REBUILD_FAILED = "REBUILD_FAILED"
@@ -69,10 +70,13 @@ def begin(dates: DataFrame, run_id: str, at: datetime, seq: int) -> DataFrame:
 def succeed(state: DataFrame, counts: DataFrame, at: datetime, seq: int) -> DataFrame:
     """Dates in ``counts`` (partition_date, record_count) end in SUCCESS.
 
-    A date that has no state is left out.
+    ``counts`` may have the ``content`` of the rows, too. A date that has no state
+    is left out.
     """
+    if "content" not in counts.columns:
+        counts = counts.withColumn("content", F.lit(None).cast("string"))
     return (
-        state.drop("record_count")
+        state.drop("record_count", "content")
         .join(counts, KEY)
         .select(
             *_row(
@@ -83,6 +87,7 @@ def succeed(state: DataFrame, counts: DataFrame, at: datetime, seq: int) -> Data
                 start_time=F.col("start_time"),
                 end_time=F.lit(at),
                 record_count=F.col("record_count"),
+                content=F.col("content"),
             )
         )
     )
@@ -107,6 +112,7 @@ def fail(state: DataFrame, errors: DataFrame, at: datetime, seq: int) -> DataFra
                 end_time=F.lit(at),
                 record_count=F.col("record_count"),
                 error_message=F.substring("error_message", 1, ERROR_LENGTH),
+                content=F.col("content"),
             )
         )
     )
@@ -124,15 +130,21 @@ def plan(
     the output. A finished date is skipped while its output is there and its
     input still has the recorded size; without ``detect_growth`` the size is
     not looked at. A different size is a reason to look at the rows, not yet to
-    replace them: the input may be a part of what is published.
+    replace them: the input may be a part of what is published. Where ``targets``
+    has the ``content`` of the rows (see ``content.fingerprints``) and it was
+    recorded, other rows of equal number are seen as well.
     """
+    if "content" not in targets.columns:
+        targets = targets.withColumn("content", F.lit(None).cast("string"))
     done = F.col("status") == SUCCESS
     there = F.col("published_count").isNotNull()
     same = F.col("source_count").eqNullSafe(F.col("recorded_count"))
-    skip = done & there & (same if detect_growth else F.lit(True))
+    changed = F.coalesce(F.col("content") != F.col("recorded_content"), F.lit(False))
+    skip = done & there & (same & ~changed if detect_growth else F.lit(True))
     action = (
         F.when(F.col("status").isNull(), BUILD)
         .when(skip, SKIP)
+        .when(done & there & same, REBUILD_CHANGED)
         .when(done & there, REBUILD_GREW)
         .when(done, REBUILD_MISSING)
         .when(F.col("status") == IN_PROGRESS, REBUILD_STALE)
@@ -140,13 +152,14 @@ def plan(
         .otherwise(BUILD)
     )
     return (
-        targets.select(DATE, F.col("record_count").alias("source_count"))
+        targets.select(DATE, F.col("record_count").alias("source_count"), "content")
         .join(
             state.select(
                 F.col(KEY).alias(DATE),
                 "status",
                 "run_id",
                 F.col("record_count").alias("recorded_count"),
+                F.col("content").alias("recorded_content"),
             ),
             DATE,
             "left",
@@ -157,4 +170,5 @@ def plan(
             "left",
         )
         .withColumn("action", action)
+        .drop("recorded_content")
     )

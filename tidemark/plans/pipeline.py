@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from bisect import bisect_left
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -16,6 +17,8 @@ from pyspark.storagelevel import StorageLevel
 from tidemark.functions.clock import LOCAL_ZONE
 from tidemark.operators import ledger
 from tidemark.operators.calendar import date_range, with_local_date
+from tidemark.operators.carried import reach
+from tidemark.operators.content import fingerprints
 from tidemark.operators.metrics import daily_counts, partition_stats
 from tidemark.operators.sessions import SESSION_GAP, sessionize, sessionize_within
 from tidemark.operators.skew import SKEW_THRESHOLD, at_least, busiest, user_event_counts
@@ -104,6 +107,7 @@ def run(
     zone: str = LOCAL_ZONE,
     table: str = catalog.TABLE,
     detect_growth: bool = True,
+    detect_changes: bool = True,
     replace_not_contained: bool = False,
     analyze: bool = True,
     statistics_dir: str | None = None,
@@ -120,7 +124,9 @@ def run(
     lacks is kept as it is (``KEEP_NOT_CONTAINED``) and listed in the summary,
     unless ``replace_not_contained``. If work on a date changes sessions that
     run on into finished dates of the input and range, those are written anew
-    (``REBUILD_SESSION``).
+    (``REBUILD_SESSION``). A finished date whose input has as many rows as recorded
+    but other ones is found by a fingerprint of all columns (``REBUILD_CHANGED``);
+    ``detect_changes=False`` compares counts only, which reads one column.
 
     A run without work writes nothing. With work, rows without a time, which
     have no date, are set aside, and with ``analyze`` the statistics of the
@@ -142,13 +148,17 @@ def run(
     drop_stages(spark, stages)
     try:
         raw = with_local_date(read_raw_csv(spark, input_dir), zone)
-        daily = daily_counts(raw).collect()  # one row per date, from one column
+        # One row per date: from one column, or a fingerprint of all of them.
+        daily = (fingerprints(raw) if detect_changes else daily_counts(raw)).collect()
         rows = sum(row["record_count"] for row in daily)
         targets = [row for row in daily if row[DATE] is not None]
         plan = (
             ledger.plan(
                 date_range(
-                    spark.createDataFrame(targets, f"{DATE} string, record_count bigint"),
+                    spark.createDataFrame(
+                        [(row[DATE], row["record_count"], row["content"] if detect_changes else None) for row in targets],
+                        f"{DATE} string, record_count bigint, content string",
+                    ),
                     start_date,
                     end_date,
                 ),
@@ -209,6 +219,7 @@ def run(
 _WORK = (
     ledger.BUILD,
     ledger.REBUILD_GREW,
+    ledger.REBUILD_CHANGED,
     ledger.REBUILD_MISSING,
     ledger.REBUILD_STALE,
     ledger.REBUILD_FAILED,
@@ -246,17 +257,19 @@ def _with_changed_sessions(
 ) -> list[Row]:
     """The plan with finished dates to rebuild whose session IDs have changed.
 
-    A change reaches a date only over the date before it, so the finished dates
-    next to one with work are compared, and from each that differs the next.
+    A change reaches a date only from one whose events can lie within ``gap`` of
+    its own. So the finished dates that near to one with work are compared, and
+    from each that differs those near to it. Dates kept because the input lacks
+    rows of them may differ from the input as well, and count as reached.
     """
-    dates = [row[DATE] for row in plan]
     finished = {row[DATE] for row in plan if row["action"] == ledger.SKIP}
-    reached = {row[DATE] for row in plan if row["action"] in _WORK}
+    reached = {row[DATE] for row in plan if row["action"] != ledger.SKIP}
     columns = ["user_id", "event_time", SESSION_ID, DATE]
     looked_at: set[str] = set()
     changed: set[str] = set()
     while True:
-        after = {b for a, b in zip(dates, dates[1:]) if a in reached}
+        known = sorted(reached)
+        after = {d for d in finished if bisect_left(known, reach(d, gap, -1)) < bisect_left(known, d)}
         frontier = sorted((after & finished) - looked_at)
         if not frontier:
             return _with_action(plan, changed, ledger.REBUILD_SESSION)
@@ -342,7 +355,10 @@ def _publish(
         if wrong:
             raise RuntimeError(f"row counts differ from the input on {', '.join(wrong)}")
         catalog.register_dates(spark, dates, output, table)
-        counted = of_dates([written[d] for d in dates], "record_count", "bigint")
+        counted = spark.createDataFrame(
+            [(r[DATE], written[r[DATE]], r["content"]) for r in todo],
+            "partition_date string, record_count bigint, content string",
+        )
         store.append(ledger.succeed(store.current(spark), counted, _now(), seq + 2))
     except Exception as error:
         try:

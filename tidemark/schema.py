@@ -33,7 +33,8 @@ EVENTS = StructType(
     + [StructField(SESSION_ID, StringType()), StructField(DATE, StringType())]
 )
 
-# One row per change of a date's state; ``seq`` orders the changes.
+# One row per change of a date's state; ``seq`` orders the changes. ``content`` is
+# the fingerprint of the rows counted, where it was taken.
 LEDGER = StructType(
     [
         StructField("partition_date", StringType()),
@@ -44,5 +45,6 @@ LEDGER = StructType(
         StructField("record_count", LongType()),
         StructField("error_message", StringType()),
         StructField("seq", LongType()),
+        StructField("content", StringType()),
     ]
 )
