@@ -115,60 +115,23 @@ def test_every_four_positions_contain_a_triple():
     assert simhash.shared_bytes(x).tolist() == [8, 7, 7, 6]
 
 
-def test_similar_texts_form_groups(spark, mixed, monkeypatch):
-    monkeypatch.setattr(simhash, "VERIFY_BLOCK", 4)
-    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) or {0} for i, t in mixed}
-    ids = sorted(sets)
-    links = [(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+def test_one_of_each_component_stays(spark, mixed):
+    prints = {i: simhash.fingerprint(simhash.shingle_hashes(t, 4)) for i, t in mixed}
+    ids = sorted(prints)
+    links = [(a, b) for a in ids for b in ids if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
     expected = united(ids, links)
     docs = table(spark, mixed)
-    rows = simhash.near_duplicate_groups(docs).collect()
-    assert sorted((r.doc_id, r.component_id) for r in rows) == sorted((i, expected[i]) for i, _ in mixed)
     kept = simhash.keep_one_of_group(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i in ids if expected[i] == i}
+    assert len(ids) > kept.count() > 5
 
 
 def test_near_copies_go_row_by_row(spark):
     a, b, c = (" ".join(prose(i, 200)) for i in range(3))
-    rows = [(1, a), (2, a + " more"), (2, b), (None, a + " again"), (None, b + " again"), (None, c), (3, None), (4, "")]
+    rows = [(1, a), (2, a.upper()), (2, b), (None, a + " "), (None, b + "  "), (None, c), (3, None), (4, "")]
     kept = simhash.keep_one_of_group(table(spark, rows)).collect()
     assert {(r.doc_id, r.text) for r in kept} == {(1, a), (2, b), (None, c), (3, None)}
-    found = simhash.near_duplicate_groups(table(spark, rows))
-    assert found.columns == ["doc_id", "component_id"]
-    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found.collect()) == [
-        (0, 0), (0, 1), (0, 2), (1, 1), (2, 1), (2, 2), (3, 3), (4, 3),
-    ]
-
-
-def test_lengthened_and_cut_copies_are_all_found(spark):
-    draw, rows = random.Random(8), []
-    for i in range(40):
-        words = prose(1_000 + i, 100 + 10 * i)
-        more = prose(2_000 + i, 100)
-        share = 0.1 + 0.0024 * i
-        n = int(len(words) * share)
-        changed = words + (more * 6)[:n] if i % 2 else words[:-n] if draw.random() < 0.5 else words[n:]
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(changed))]
-    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in rows}
-    near = [i for i in range(0, 80, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
-    assert len(near) > 30
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(table(spark, rows)).collect()}
-    assert [i for i in range(0, 80, 2) if found[i + 1] == i] == near
-
-
-def test_similar_sets_share_a_first_shingle_and_pass_the_sketch():
-    draw = np.random.default_rng(4)
-    for _ in range(400):
-        whole = np.unique(draw.integers(0, 2**64, draw.integers(1, 3_000), np.uint64))
-        a, b = (np.sort(draw.permutation(whole)[: len(whole) - draw.integers(0, len(whole) // 8 + 1)]) for _ in "ab")
-        common = len(np.intersect1d(a, b))
-        if common < 0.8 * (len(a) + len(b) - common):
-            continue
-        frequent = draw.permutation(whole)[: draw.integers(0, len(whole) + 1)]
-        assert len(np.intersect1d(simhash.prefix(a, frequent, 0.8), simhash.prefix(b, frequent, 0.8)))
-        near = simhash._near_sketches(np.array([len(a), len(b)]), [simhash.sketch(a), simhash.sketch(b)], 0.8)
-        assert near(0, np.array([1])).tolist() == [1]
 
 
 def removed(rows, window):

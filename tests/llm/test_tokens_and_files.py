@@ -240,10 +240,10 @@ def test_pipeline_stage_by_stage(spark, library):
 
     last = {fold(t): i for i, t in sorted(texts[1].items())}
     assert set(texts[2]) == set(last.values())
-    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts[2].items()}
-    root = {i: i for i in sets}
-    for a, b in itertools.combinations(sorted(sets), 2):
-        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+    prints = {i: simhash.fingerprint(simhash.shingle_hashes(t, 4)) for i, t in texts[2].items()}
+    root = {i: i for i in prints}
+    for a, b in itertools.combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 4:
             old, new = max(root[a], root[b]), min(root[a], root[b])
             root = {i: new if r == old else r for i, r in root.items()}
     assert set(texts[3]) == {i for i, r in root.items() if i == r}

@@ -16,13 +16,6 @@ links: members already reached are not compared again. A list longer than
 no task holds more than two blocks however many fingerprints share their bytes.
 
 Equal fingerprints are one node, so copies never multiply.
-
-Groups of similar texts are not left to fingerprints: a second source proposes
-every pair that can be similar enough. Shingles have a fixed order, the ones a
-sample shows to be frequent last; of two texts of Jaccard similarity s or more,
-the first n - ceil(s n) + 1 of n shingles always have one in common. The texts
-of such a list are compared by size and by a parity sketch, whose differing
-bits never outnumber the shingles that only one of the two has.
 """
 
 from __future__ import annotations
@@ -33,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import attach, map_rows, stored
@@ -45,25 +38,6 @@ BITS = 4
 
 BLOCK = 4_096
 
-# Similar texts, for groups verified on word shingles.
-SHINGLE_WORDS = 5
-SIMILARITY = 0.8
-# Fingerprints per text, of the set of its word pairs, to propose candidates.
-LANES = 3
-PAIR_WORDS = 2
-# Of LANES x 64 bits. At similarity 0.8 about 18 differ; between unrelated
-# texts about 96 do.
-LOOSE_BITS = 40
-# Texts in a block of a group that is verified.
-VERIFY_BLOCK = 256
-# Texts looked at for frequent shingles: one in SAMPLE_STEP. They only choose
-# the order of shingles; the outcome is the same.
-SAMPLE_STEP = 64
-FREQUENT_IN_SAMPLE = 3
-FREQUENT_SHINGLES = 20_000
-# Bits of a text's sketch: a power of two, at least as many as it has shingles.
-LEAST_SKETCH, MOST_SKETCH = 256, 65_536
-
 
 def position_triples() -> list[tuple[int, int, int]]:
     """The 20 triples out of 8 positions that every 4 positions contain one of.
@@ -126,18 +100,22 @@ def _signed(values: list[int]) -> np.ndarray:
 def fingerprints(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4
 ) -> DataFrame:
-    """``doc_id, fingerprint`` (a signed 64-bit number) of every row."""
+    """``doc_id, digest`` (SHA-256 of the text) and ``fingerprint`` (a signed 64-bit
+    number) of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [fingerprint(shingle_hashes(t, words)) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": _signed(found)})
+            yield pd.DataFrame(
+                {"doc_id": batch["doc_id"], "digest": batch["digest"], "fingerprint": _signed(found)}
+            )
 
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return map_rows(rows, run, "fingerprint bigint")
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("digest"))
+    return map_rows(rows, run, "digest string, fingerprint bigint")
 
 
-def postings(nodes: DataFrame, node: str, lane: str, tag: int = 0) -> DataFrame:
+def postings(nodes: DataFrame, node: str, lane: str) -> DataFrame:
     """One row per list a fingerprint is in: ``node, list``."""
 
     def byte(position: int):
@@ -145,7 +123,7 @@ def postings(nodes: DataFrame, node: str, lane: str, tag: int = 0) -> DataFrame:
 
     keys = []
     for number, triple in enumerate(TRIPLES):
-        key = F.lit(tag * len(TRIPLES) + number).cast("bigint")
+        key = F.lit(number).cast("bigint")
         for position in triple:
             key = key * 256 + byte(position)
         keys.append(key)
@@ -242,6 +220,11 @@ def simhash_components(
     linked like any other. Rows that repeat an id or a text are listed as often
     as they occur. An empty table gives an empty result.
     """
+    return _components(docs, id_column, text_column, words, bits).drop("digest")
+
+
+def _components(docs: DataFrame, id_column: str, text_column: str, words: int, bits: int) -> DataFrame:
+    """``doc_id, digest, fingerprint, component_id`` of every row."""
     rows = stored(fingerprints(docs, id_column, text_column, words), "fingerprints")
     nodes = stored(
         rows.groupBy("fingerprint").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies")),
@@ -271,335 +254,24 @@ def _labelled(rows: DataFrame, nodes: DataFrame, found: DataFrame, key: str) ->
     return attach(rows, stored(classes, "component-classes"), [key], "copies").drop("copies")
 
 
-# --- groups of similar texts -------------------------------------------------
-
-
-def _text_key(text: str | None) -> int:
-    """Signed 64-bit digest of a text's words, A-Z lower-cased."""
-    folded = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
-    key = xxhash.xxh3_64_intdigest(folded)
-    return key - (key >> 63 << 64)
-
-
-def _digest(text: Column) -> Column:
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
-
-
-def _lanes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id``, ``digest`` of the text, a 64-bit ``text_key`` of the words, and
-    the candidate lanes."""
-    names = [f"lane{i}" for i in range(LANES)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, lanes = [], [[] for _ in names]
-            for text in batch["text"]:
-                keys.append(_text_key(text))
-                for i, lane in enumerate(lanes):
-                    # The set of word pairs: a repeated line does not outweigh the rest.
-                    lane.append(fingerprint(np.unique(shingle_hashes(text, PAIR_WORDS, SEED + i))))
-            columns = {"doc_id": batch["doc_id"], "digest": batch["digest"], "text_key": keys}
-            yield pd.DataFrame(columns | {n: _signed(v) for n, v in zip(names, lanes)})
-
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), _digest(F.col(text_column)).alias("digest")
-    )
-    more = ", ".join(f"{n} bigint" for n in names)
-    return map_rows(rows, run, f"digest string, text_key bigint, {more}")
-
-
-def _loose_links(nodes: DataFrame) -> DataFrame:
-    """Links that connect texts whose lanes differ in few bits."""
-    names = [f"lane{i}" for i in range(LANES)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            links = []
-            for members in batch["members"]:
-                table = np.array([tuple(m.values()) if isinstance(m, dict) else tuple(m) for m in members], np.int64)
-                lanes = table[:, 1:].view(np.uint64)
-
-                def near(x: int, others: np.ndarray, lanes=lanes) -> np.ndarray:
-                    apart = np.bitwise_count(lanes[others] ^ lanes[x]).sum(axis=1)
-                    return others[apart <= LOOSE_BITS]
-
-                links += [(table[x, 0], table[y, 0]) for x, y in forest(len(table), near)]
-            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-    lists = None
-    for i, name in enumerate(names):
-        part = postings(nodes, "text_key", name, i)
-        lists = part if lists is None else lists.unionByName(part)
-    dealt = blocks_of(lists, "list", "node", BLOCK)
-    with_lanes = dealt.join(
-        nodes.select(F.col("text_key").alias("node"), *names), "node"
-    )
-    groups = with_lanes.groupBy("list", "i", "j").agg(
-        F.collect_list(F.struct("node", *names)).alias("members")
-    )
-    return groups.select("members").mapInPandas(run, "a bigint, b bigint")
-
-
-def _frequent_shingles(texts: DataFrame, words: int) -> np.ndarray:
-    """Shingles that many texts of a sample have, by how many: rarest first."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text in batch["text"]:
-                found = np.unique(shingle_hashes(text, words)).view(np.int64)
-                yield pd.DataFrame({"text_key": np.full(len(found), _text_key(text)), "shingle": found})
-
-    # Copies of a text count once.
-    frequent = (
-        texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_STEP)) == 0)
-        .select("text")
-        .mapInPandas(run, "text_key bigint, shingle bigint")
-        .distinct()
-        .groupBy("shingle")
-        .agg(F.count("*").alias("times"))
-        .where(F.col("times") >= FREQUENT_IN_SAMPLE)
-        .orderBy(F.desc("times"), "shingle")
-        .limit(FREQUENT_SHINGLES)
-    )
-    return np.array([r["shingle"] for r in reversed(frequent.collect())], np.int64).view(np.uint64)
-
-
-def prefix(shingles: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of a set's distinct shingles, of which two sets of at least
-    ``similarity`` have one in common. ``frequent`` come last, in their order."""
-    rank = np.zeros(len(shingles), np.int64)
-    if len(frequent):
-        order = np.argsort(frequent)
-        at = np.minimum(np.searchsorted(frequent[order], shingles), len(frequent) - 1)
-        rank = np.where(frequent[order][at] == shingles, 1 + order[at], 0)
-    length = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-6)) + 1
-    return shingles[np.lexsort((shingles, rank))][:length]
-
-
-def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of how many distinct shingles fall on each bit."""
-    bits = LEAST_SKETCH
-    while bits < min(len(shingles), MOST_SKETCH):
-        bits *= 2
-    places = (shingles & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=bits) & 1).tobytes()
-
-
-def _near_sketches(sizes: np.ndarray, sketches: list[bytes], similarity: float):
-    """Sets that sizes and sketches do not show to be less than similar."""
-    # Half of a sketch's bits: one half of it by exclusive or with the other.
-    lengths = np.array([len(s) for s in sketches])
-    tables: dict[int, np.ndarray] = {}
-    for length in sorted(set(lengths.tolist()), reverse=True):
-        table = np.zeros((len(sketches), length // 8), np.uint64)
-        for i in np.flatnonzero(lengths >= length):
-            own = np.frombuffer(sketches[i], np.uint64)
-            while len(own) > length // 8:
-                own = own[: len(own) // 2] ^ own[len(own) // 2 :]
-            table[i] = own
-        tables[length] = table
-
-    def near(x: int, others: np.ndarray) -> np.ndarray:
-        low, high = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
-        others = others[low >= similarity * high - 1e-6]
-        common = np.minimum(lengths[others], lengths[x])
-        found = []
-        for length in np.unique(common):
-            some = others[common == length]
-            apart = np.bitwise_count(tables[int(length)][some] ^ tables[int(length)][x]).sum(axis=1)
-            most = (1 - similarity) / (1 + similarity) * (sizes[some] + sizes[x])
-            found.append(some[apart <= most + 1e-6])
-        return np.concatenate(found) if found else others
-
-    return near
-
-
-def _prefix_links(
-    docs: DataFrame, id_column: str, text_column: str, words: int, similarity: float
-) -> DataFrame:
-    """Links that connect, among others, all texts of at least ``similarity``."""
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    frequent = _frequent_shingles(texts, words)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                found = np.unique(shingle_hashes(text, words))
-                first = prefix(found, frequent, similarity).view(np.int64)
-                rows.append((_text_key(text), len(found), sketch(found), first))
-            columns = ["node", "size", "sketch", "shingles"]
-            yield pd.DataFrame({"doc_id": batch["doc_id"]} | dict(zip(columns, zip(*rows))))
-
-    # Texts without a word are one node, and so are copies.
-    sets = stored(
-        map_rows(texts, run, "node bigint, size bigint, sketch binary, shingles array<bigint>")
-        .where("size > 0")
-        .drop("doc_id")
-        .dropDuplicates(["node"]),
-        "prefixes",
-    )
-    dealt = blocks_of(sets.select("node", F.explode("shingles").alias("list")), "list", "node", BLOCK)
-    # Near copies meet in many lists; lists of the same texts are one.
-    lists = (
-        dealt.groupBy("list", "i", "j")
-        .agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-        .where(F.size("nodes") > 1)
-        .select("nodes")
-        .distinct()
-        .select(F.monotonically_increasing_id().alias("list"), "nodes")
-    )
-    lists = stored(lists, "prefix-lists")
-
-    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            links = []
-            for nodes, sizes, sketches in zip(batch["nodes"], batch["sizes"], batch["sketches"]):
-                near = _near_sketches(np.asarray(sizes, np.int64), list(sketches), similarity)
-                links += [(nodes[x], nodes[y]) for x, y in forest(len(nodes), near)]
-            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-    members = lists.select("list", F.explode("nodes").alias("node"))
-    groups = (
-        members.join(sets.select("node", "size", "sketch"), "node")
-        .groupBy("list")
-        .agg(F.collect_list(F.struct("node", "size", "sketch")).alias("members"))
-    )
-    return groups.select(
-        *[F.col(f"members.{part}").alias(f"{part}{end}") for part, end in (("node", "s"), ("size", "s"), ("sketch", "es"))]
-    ).mapInPandas(linked, "a bigint, b bigint")
-
-
-def _near_sets(sets: list[np.ndarray], similarity: float):
-    """Jaccard similarity within a block, by an inverted index of its shingles."""
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    flat = np.concatenate(sets)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-
-    def near(x: int, others: np.ndarray) -> np.ndarray:
-        low = np.searchsorted(flat, sets[x], "left")
-        high = np.searchsorted(flat, sets[x], "right")
-        spans = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low)
-        hits = owner[spans + np.arange(len(spans))]
-        common = np.bincount(hits, minlength=len(sets))[others]
-        return others[common >= similarity * (sizes[others] + sizes[x] - common) - 1e-9]
-
-    return near
-
-
-def _verified_links(
-    docs: DataFrame, candidates: DataFrame, id_column: str, text_column: str, words: int, similarity: float
-) -> DataFrame:
-    """Links that connect texts of a candidate group as all pairs of at least
-    ``similarity`` would. ``candidates`` has ``text_key``, ``root`` and the ``id``
-    and ``digest`` of a row that has the text."""
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = []
-            for text in batch["text"]:
-                found = np.unique(shingle_hashes(text, words)).view(np.int64)
-                sets.append(found if len(found) else np.zeros(1, np.int64))
-            yield pd.DataFrame({"node": batch["node"], "root": batch["root"], "shingles": sets})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            links = []
-            for ids, members in zip(batch["ids"], batch["members"]):
-                near = _near_sets([np.asarray(m, np.int64) for m in members], similarity)
-                links += [(ids[x], ids[y]) for x, y in forest(len(ids), near)]
-            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-    texts = docs.select(
-        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), _digest(F.col(text_column)).alias("text_digest")
-    )
-    # An id may stand on several rows; only the text that is meant counts.
-    meant = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_digest") == F.col("digest"))
-    sets = stored(
-        texts.join(candidates, meant)
-        .select(F.col("text_key").alias("node"), "root", "text")
-        .mapInPandas(hashed, "node bigint, root bigint, shingles array<bigint>")
-        .dropDuplicates(["node"]),
-        "shingles",
-    )
-    dealt = blocks_of(sets.select("root", "node"), "root", "node", VERIFY_BLOCK)
-    groups = (
-        dealt.join(sets.select("node", "shingles"), "node")
-        .groupBy("root", "i", "j")
-        .agg(
-            F.collect_list("node").alias("ids"), F.collect_list("shingles").alias("members")
-        )
-    )
-    return groups.select("ids", "members").mapInPandas(run, "a bigint, b bigint")
-
-
-def near_duplicate_groups(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    words: int = SHINGLE_WORDS,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
-    """``doc_id, component_id`` of every row: the smallest id reachable by links
-    between texts whose sets of ``words``-word shingles have a Jaccard
-    similarity of ``similarity`` or more.
-
-    The byte index over ``LANES`` fingerprints and common first shingles propose
-    groups, the latter for every such pair (``similarity`` above 0); in a group
-    all pairs of different texts are verified on their shingles, block by block.
-    Texts of the same words are one node. NULL and blank texts have the same
-    (empty) words and form a group. Rows that repeat an id or a text are listed
-    as often as they occur. A NULL id is no component: that is the smallest other
-    id, and NULL where no row of the group has one.
-    """
-    return _similar_groups(docs, id_column, text_column, words, similarity).select("doc_id", "component_id")
-
-
-def _similar_groups(
-    docs: DataFrame, id_column: str, text_column: str, words: int, similarity: float
-) -> DataFrame:
-    """``doc_id, digest, text_key, component_id`` of every row."""
-    rows = stored(_lanes(docs, id_column, text_column), "lanes")
-    lanes = [f"lane{i}" for i in range(LANES)]
-    nodes = stored(
-        rows.groupBy("text_key", *lanes).agg(
-            F.min("doc_id").alias("head"),
-            F.count("*").alias("copies"),
-            F.min(F.struct("doc_id", "digest")).alias("row"),
-        ),
-        "text-nodes",
-    )
-    proposed = _loose_links(nodes).unionByName(
-        _prefix_links(docs, id_column, text_column, words, similarity)
-    )
-    loose = connected_components(proposed)
-    candidates = nodes.select("text_key", F.col("row.doc_id").alias("id"), "row.digest").join(
-        loose.select(F.col("node").alias("text_key"), "root"), "text_key"
-    )
-    links = _verified_links(docs, candidates, id_column, text_column, words, similarity)
-    found = connected_components(links)
-    return _labelled(rows.drop(*lanes), nodes.drop(*lanes, "row"), found, "text_key")
-
-
 def keep_one_of_group(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    words: int = SHINGLE_WORDS,
-    similarity: float = SIMILARITY,
+    words: int = 4,
+    bits: int = BITS,
 ) -> DataFrame:
-    """Rows of ``docs``, unchanged, with the smallest id of their group.
+    """Rows of ``docs``, unchanged, with the smallest id of their component.
 
-    Of rows that share an id those go whose text is in the group of a smaller
-    one. A row without an id stays only if no row of its group has one.
+    Of rows that share an id those go whose text is in the component of a smaller
+    one. A row without an id stays only if no row of its component has one.
     """
-    groups = _similar_groups(docs, id_column, text_column, words, similarity)
+    digest = F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)
+    groups = _components(docs, id_column, text_column, words, bits)
     gone = (
         groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
         .select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"))
         .distinct()
     )
-    match = docs[id_column].eqNullSafe(gone["gone_id"]) & (_digest(docs[text_column]) == gone["gone_digest"])
+    match = F.col(id_column).eqNullSafe(gone["gone_id"]) & (digest == gone["gone_digest"])
     return docs.join(gone, match, "left_anti")
