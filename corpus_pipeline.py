@@ -20,8 +20,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with similar texts, the one with the smallest id stays."""
-    return simhash.keep_one_of_group(docs)
+    """Of documents whose fingerprints are linked, that with the smallest id stays."""
+    return simhash.keep_one_of_group(docs, words=4, bits=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
