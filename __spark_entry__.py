@@ -18,7 +18,19 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.functions import clock  # noqa: E402
-from tidemark.operators import calendar, carried, content, ledger, mergeable, metrics, sessions, skew  # noqa: E402
+from tidemark.operators import (  # noqa: E402
+    calendar,
+    carried,
+    content,
+    heavy,
+    ledger,
+    mergeable,
+    metrics,
+    scan,
+    sessions,
+    sketches,
+    skew,
+)
 from tidemark.plans import extend, pipeline, weekly  # noqa: E402
 from tidemark.session import scratch_path, ship_package  # noqa: E402
 from tidemark.sources import catalog, publish, raw, versions  # noqa: E402
@@ -28,7 +40,7 @@ from tidemark.sources.ledger_store import LedgerStore  # noqa: E402
 # than 99 events.
 WEEK_LOW, WEEK_HIGH = "2024-01-01", "2024-01-31"
 SKEWED_FROM = 80
-GAP_5M, GAP_12H, GAP_2D = 300, 12 * 3600, 2 * 86_400
+GAP_1S, GAP_5M, GAP_12H, GAP_2D = 1, 300, 12 * 3600, 2 * 86_400
 CUT_TIME = "2024-01-16 03:00:00"
 SLICE_DATE = "2024-01-15"
 RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
@@ -585,6 +597,59 @@ def ledger_plan_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- one user, many tasks; many users, few counts ----------------------------
+
+
+def session_ids_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by the two-level scan at the shortest gap."""
+    labelled = scan.sessionize_by_scan(_events(spark, sf_dir), GAP_1S)
+    return _with_micros(calendar.with_local_date(labelled), "generated_session_id", "dt")
+
+
+def session_ids_scan_gap12h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in slices of two cells, which sessions go through."""
+    labelled = scan.sessionize_by_scan(_events(spark, sf_dir), GAP_12H, slice_cells=2)
+    return _with_micros(calendar.with_local_date(labelled), "generated_session_id", "dt")
+
+
+def top_users_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heavy.top_users(_events(spark, sf_dir), fullest=16)
+
+
+def stats_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a range from a written table of daily sketches: counts, and
+    whether the estimates are within the stated error of the distinct values."""
+    path = scratch_path(spark, "stats_of_range")
+    labelled = _sessionized(spark, sf_dir, GAP_12H)
+    sketches.date_sketches(labelled).write.partitionBy("dt").parquet(path)
+    found = sketches.range_statistics(calendar.date_range(spark.read.parquet(path), RANGE_START, RANGE_END))
+    columns = metrics.STATISTICS_COLUMNS
+    exact = calendar.date_range(labelled, RANGE_START, RANGE_END).agg(
+        *[F.countDistinct(c).alias(f"{c}_exact") for c in columns]
+    )
+    near = [
+        (F.abs(F.col(f"{c}_distinct") - F.col(f"{c}_exact")) <= F.ceil(F.col(f"{c}_exact") * sketches.ERROR)).alias(f"{c}_within")
+        for c in columns
+    ]
+    # One row on either side.
+    return found.join(exact, F.lit(True)).select("row_count", *[f"{c}_nulls" for c in columns], *near)
+
+
+def raw_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per date, rows of CSV files in which every seventh line is damaged."""
+    root = scratch_path(spark, "raw_csv_rejects")
+    damaged = F.when(F.col("product_id") % 7 == 0, F.concat(F.lit("x"), F.col("price"))).otherwise(F.col("price").cast("string"))
+    raw.write_raw_csv(_events(spark, sf_dir).withColumn("price", damaged), f"{root}-in")
+    raw.read_raw_csv_with_rejects(spark, f"{root}-in").write.parquet(f"{root}-staged")
+    dated = calendar.with_local_date(spark.read.parquet(f"{root}-staged"))
+    rejected = F.col(raw.REJECTED).isNotNull()
+    return dated.groupBy("dt").agg(
+        F.count("*").alias("record_count"),
+        F.count_if(rejected).alias("rejected"),
+        F.count_if(rejected & F.col("price").isNull()).alias("without_price"),
+    )
+
+
 # --- weekly counts from what dates keep --------------------------------------
 
 
@@ -675,6 +740,11 @@ _QUERIES = (
     publish_rollback,
     publish_manifest_roundtrip,
     ledger_plan_content,
+    session_ids_scan,
+    session_ids_scan_gap12h,
+    top_users_sketched,
+    stats_of_range,
+    raw_csv_rejects,
     wau_from_bitmaps,
     wau_sessions_additive,
     batch_statistics,
@@ -918,6 +988,18 @@ FROM state""",
         + "SELECT dt, record_count AS source_count, record_count AS recorded_count,"
         " CASE WHEN CAST(substr(dt, 9, 2) AS INTEGER) % 3 = 0 THEN 'REBUILD_CHANGED' ELSE 'SKIP' END"
         " AS action FROM daily",
+        "session_ids_scan": _sessions_sql(GAP_1S) + published,
+        "session_ids_scan_gap12h": half_day + published,
+        "top_users_sketched": users + " ORDER BY event_count DESC, user_id LIMIT 10",
+        "stats_of_range": half_day
+        + "SELECT count(*) AS row_count, count(*) - count(user_id) AS user_id_nulls,"
+        " count(*) - count(event_type) AS event_type_nulls,"
+        " count(*) - count(generated_session_id) AS generated_session_id_nulls,"
+        " true AS user_id_within, true AS event_type_within, true AS generated_session_id_within"
+        f" FROM sessionized WHERE dt BETWEEN '{RANGE_START}' AND '{RANGE_END}'",
+        "raw_csv_rejects": f"{with_raw}SELECT dt, count(*) AS record_count,"
+        " count(CASE WHEN product_id % 7 = 0 THEN 1 END) AS rejected,"
+        " count(CASE WHEN product_id % 7 = 0 THEN 1 END) AS without_price FROM raw GROUP BY dt",
         "wau_from_bitmaps": f"SELECT week_start, wau_by_user FROM ({_wau_sql(GAP_12H)})",
         "wau_sessions_additive": f"SELECT week_start, wau_by_session FROM ({_wau_sql(GAP_12H)})",
         "batch_statistics": five + _STATISTICS,

@@ -30,8 +30,9 @@ from tidemark.plans.pipeline import drop_stages
 from tidemark.schema import DATE, RAW_EVENTS, SESSION_ID
 from tidemark.session import shared_dir, shuffle_width
 from tidemark.sources import versions
+from tidemark.sources.claims import claim
 from tidemark.sources.ledger_store import LedgerStore
-from tidemark.sources.raw import read_raw_csv
+from tidemark.sources.raw import REJECTED, read_raw_csv_with_rejects
 
 log = logging.getLogger(__name__)
 
@@ -49,6 +50,8 @@ class Extension:
     unchanged: list[str]
     undated_rows: int
     undated_path: str | None
+    rejected_lines: int
+    rejected_path: str | None
 
 
 def _now() -> datetime:
@@ -99,9 +102,11 @@ def extend(
 
     The run's files are counted before its manifest row makes them the table:
     whatever fails, readers keep the old rows, and the ledger says FAILED. Rows
-    without a time have no date and are set aside. Read the table with
-    :func:`tidemark.sources.versions.read_manifest`. Runs that fill one table
-    must not overlap, and have one ``gap`` and ``zone``.
+    without a time have no date and are set aside. Lines with a damaged cell are
+    rows, with NULL in its place, and are listed besides as they were. Read the
+    table with :func:`tidemark.sources.versions.read_manifest`. A run holds a claim
+    on the table: a second one raises meanwhile. All runs that fill a table have
+    one ``gap`` and ``zone``.
     """
     if gap <= 0:
         raise ValueError("gap must be positive")
@@ -110,38 +115,43 @@ def extend(
     run_id = uuid.uuid4().hex
     stages = f"{folder}/stages/extend/{run_id}"
     stage = _Stage(spark, stages)
-    store.create(spark)
     versions.create_manifest(spark, output)
-    try:
-        staged = stage(with_local_date(read_raw_csv(spark, input_dir), zone))
-        arrived = {r[DATE]: r for r in fingerprints(staged).collect()}  # one row per date
-        undated = arrived.pop(None, None)
-        rows = sum(r["record_count"] for r in arrived.values())
-        with shuffle_width(spark, rows):
-            return _extend(spark, staged, sorted(arrived), undated, output, store, folder, run_id, gap, zone, stage)
-    finally:
-        drop_stages(spark, stages)
+    with claim(spark, output, run_id):
+        store.create(spark)
+        try:
+            raw = stage(with_local_date(read_raw_csv_with_rejects(spark, input_dir), zone))
+            rejected, rejected_path = raw.where(F.col(REJECTED).isNotNull()), None
+            if rejected_lines := rejected.count():
+                rejected_path = f"{folder}/rejected/{run_id}"
+                rejected.select(REJECTED).write.text(rejected_path)
+                log.warning("%d damaged lines are in %s", rejected_lines, rejected_path)
+            staged = raw.drop(REJECTED)
+            arrived = {r[DATE]: r for r in fingerprints(staged).collect()}  # one row per date
+            undated_path = None
+            undated_rows = arrived.pop(None)["record_count"] if None in arrived else 0
+            if undated_rows:
+                undated_path = f"{folder}/undated/{run_id}"
+                staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(undated_path)
+                log.warning("%d rows without a time are in %s", undated_rows, undated_path)
+            with shuffle_width(spark, sum(r["record_count"] for r in arrived.values())):
+                dates = _extend(spark, staged, sorted(arrived), output, store, run_id, gap, zone, stage)
+            return Extension(run_id, *dates, undated_rows, undated_path, rejected_lines, rejected_path)
+        finally:
+            drop_stages(spark, stages)
 
 
 def _extend(
     spark: SparkSession,
     staged: DataFrame,
     dates: list[str],
-    undated,
     output: str,
     store: LedgerStore,
-    folder: str,
     run_id: str,
     gap: int,
     zone: str,
     stage: _Stage,
-) -> Extension:
-    undated_rows = undated["record_count"] if undated else 0
-    undated_path = None
-    if undated_rows:
-        undated_path = f"{folder}/undated/{run_id}"
-        staged.where(F.col(DATE).isNull()).drop(DATE).write.parquet(undated_path)
-        log.warning("%d rows without a time are in %s", undated_rows, undated_path)
+) -> tuple[list[str], list[str], list[str]]:
+    """The dates written, labelled again, and unchanged."""
     runs = versions.current_runs(spark, output)
     window = sorted({*dates, *(d for d in runs if dates and dates[0] <= d <= dates[-1])})
     both = [d for d in dates if d in runs]
@@ -158,7 +168,7 @@ def _extend(
     unchanged = [d for d in dates if d not in changed]
     if not changed:
         log.warning("nothing new on %s", ", ".join(dates) or "any date")
-        return Extension(run_id, [], [], unchanged, undated_rows, undated_path)
+        return [], [], unchanged
 
     def near(first: str, last: str) -> dict[str, str]:
         return {d: run for d, run in runs.items() if first <= d <= last}
@@ -188,7 +198,7 @@ def _extend(
     for row in fingerprints(labelled.where(F.col(DATE) > window[-1])).collect():
         content[row[DATE]] = row
     _commit(spark, labelled, fresh, content, output, store, run_id)
-    return Extension(run_id, window, relabelled, unchanged, undated_rows, undated_path)
+    return window, relabelled, unchanged
 
 
 def _kept_states(spark: SparkSession, output: str, runs: dict[str, str], last: str, day: str, gap: int) -> DataFrame:

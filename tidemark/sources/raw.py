@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.schema import RAW_EVENTS
 
@@ -21,6 +22,26 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+# Where a line that does not parse is kept as it was.
+REJECTED = "_corrupt_record"
+
+
+def read_raw_csv_with_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The rows of :func:`read_raw_csv` and, for lines with a cell that does not
+    parse or of another number of cells, the line in ``_corrupt_record``.
+
+    Write the rows first and split them then: Spark does not read this column
+    of CSV files by itself.
+    """
+    return (
+        spark.read.schema(StructType([*RAW_EVENTS.fields, StructField(REJECTED, StringType())]))
+        .option("header", True)
+        .option("timestampFormat", TIME_FORMAT)
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .csv(path)
+    )
+
+
 def write_raw_csv(events: DataFrame, path: str) -> None:
     """Write events in the form :func:`read_raw_csv` reads."""
     (
