@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, stored
@@ -316,20 +316,29 @@ def _encode_giants(giants: DataFrame, proto, chunk: int, context: int) -> DataFr
     """``giant, ids`` of texts cut into chunks; ``giants`` has (giant, text)."""
     # The lattice reads the text with a space ahead of it.
     spaced = F.concat(F.lit(" "), F.replace("text", F.lit(SPACE), F.lit(" ")))
-    places = F.sequence(F.lit(0), F.floor((F.col("size") - 1) / chunk).cast("int"))
-    first = F.greatest(F.col("chunk") * chunk - context, F.lit(0))
-    pieces = (
-        giants.select("giant", spaced.alias("text"))
-        .withColumn("size", F.length("text"))
-        .select("giant", "text", "size", F.explode(places).alias("chunk"))
-        .select(
-            "giant",
-            "chunk",
+    # One pass cuts a text into parts; a chunk takes its context from the parts
+    # around it, so no chunk is looked for from the start of the text.
+    around = -(-context // chunk)
+    parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+
+    def piece(number: Column) -> Column:
+        begin = F.greatest(number - around, F.lit(0))
+        first = F.greatest(number * chunk - context, F.lit(0))
+        near = F.array_join(F.slice(F.col("parts"), begin + 1, F.lit(2 * around + 1)), "")
+        return F.struct(
+            number.alias("chunk"),
             first.alias("first"),
-            (F.col("chunk") * chunk - first).alias("low"),
-            F.least(F.lit(chunk), F.col("size") - F.col("chunk") * chunk).alias("length"),
-            F.substr("text", first + 1, F.lit(chunk + 2 * context)).alias("text"),
+            (number * chunk - first).alias("low"),
+            F.length(F.get(F.col("parts"), number)).alias("length"),
+            F.substr(near, first - begin * chunk + 1, F.lit(chunk + 2 * context)).alias("text"),
         )
+
+    cut = F.transform(F.sequence(F.lit(0), F.size("parts") - 1), piece)
+    pieces = (
+        giants.select("giant", spaced.alias("text"))
+        .select("giant", parts.alias("parts"))
+        .select("giant", F.explode(cut).alias("piece"))
+        .select("giant", "piece.*")
     )
     pieces = stored(pieces, "chunks")
 
