@@ -104,6 +104,16 @@ def test_language_of_held_out_texts(spark, speech):
     assert not any(r.accepted for r in found.values() if r.score < language.LEAST_MARGIN)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(2 * i + j, f"lang{i}", " ".join(f"{chr(97 + i % 26)}{i}x{k}" for k in range(60))) for i in range(300) for j in (0, 1)]
+    known = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    contents = language.dictionaries(known)
+    assert contents.keys() == {f"lang{i}" for i in range(300)}
+    assert sum(map(len, contents.values())) <= language.MODEL_BYTES
+    compressors = language.Compressors(contents)
+    assert all(compressors.predict(text)[0] == name for _, name, text in rows[::50])
+
+
 def test_language_with_nothing_learned(spark, speech):
     docs = docs_of(spark, speech[:5])
     assert language.dictionaries(docs.where("false")) == {}

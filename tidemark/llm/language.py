@@ -22,10 +22,10 @@ from tidemark.llm.common import map_rows
 
 UNDETERMINED = "und"
 
-# The model is fitted on a bounded sample: of at most MOST_LANGUAGES languages
-# (the most frequent) about SAMPLE_TEXTS texts each, of a text at most
-# EXCERPT_BYTES bytes, in all DICTIONARY_BYTES per language.
-MOST_LANGUAGES = 256
+# The model is fitted on a bounded sample: of every language about SAMPLE_TEXTS
+# texts, of a text at most EXCERPT_BYTES bytes, and DICTIONARY_BYTES in all, or
+# less where more languages share MODEL_BYTES. LEAST_BYTES are left to each.
+MODEL_BYTES, LEAST_BYTES = 8 * 1024 * 1024, 512
 SAMPLE_TEXTS = 400
 EXCERPT_BYTES = 2_000
 DICTIONARY_BYTES = 32_768
@@ -53,15 +53,14 @@ def dictionaries(
         F.col(language_column).cast("string").alias("lang"),
         F.col(text_column).alias("text"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    languages = (
-        rows.groupBy("lang").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "lang").limit(MOST_LANGUAGES)
-    )
+    # One row per language.
+    languages = rows.groupBy("lang").agg(F.count("*").alias("texts"))
+    size = max(min(DICTIONARY_BYTES, MODEL_BYTES // max(languages.count(), 1)), LEAST_BYTES)
     luck = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_000))
     wanted = F.lit(2 * SAMPLE_TEXTS * 1_000_000) / F.col("texts")
-    # At most MOST_LANGUAGES rows are broadcast.
     sample = (
         rows.withColumn("luck", luck)
-        .join(F.broadcast(languages), "lang")
+        .join(languages, "lang")
         .where(F.col("luck") <= wanted)
         .select("lang", "luck", "text")
     )
@@ -77,12 +76,12 @@ def dictionaries(
 
     def joined(batch: pd.DataFrame) -> pd.DataFrame:
         parts = batch.sort_values(["luck", "part"])["part"]
-        content = b"\n".join(parts)[:DICTIONARY_BYTES]
+        content = b"\n".join(parts)[:size]
         return pd.DataFrame({"lang": batch["lang"][:1], "content": [content]})
 
     parts = sample.mapInPandas(excerpts, "lang string, luck bigint, part binary")
     found = parts.groupBy("lang").applyInPandas(joined, "lang string, content binary")
-    # At most MOST_LANGUAGES x DICTIONARY_BYTES.
+    # About MODEL_BYTES.
     return {row["lang"]: bytes(row["content"]) for row in found.collect() if row["content"].strip()}
 
 
