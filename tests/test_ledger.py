@@ -94,8 +94,21 @@ def test_plan(spark, status, recorded, there, action, sizes_ignored):
     counts = "dt string, record_count bigint"
     targets = spark.createDataFrame([(DAY, 5)], counts)
     published = spark.createDataFrame([] if there is None else [(DAY, there)], counts)
-    rows = [] if status is None else [(DAY, status, "r1", START, None, recorded, None, 1)]
+    rows = [] if status is None else [(DAY, status, "r1", START, None, recorded, None, 1, None)]
     current = ledger.current(spark.createDataFrame(rows, LEDGER))
     for detect, expected in ((True, action), (False, sizes_ignored)):
         plan = ledger.plan(targets, current, published, detect).collect()
         assert [r.action for r in plan] == [expected]
+
+
+@pytest.mark.parametrize(
+    "recorded, found, action",
+    [("a", "a", "SKIP"), ("a", "b", "REBUILD_CHANGED"), (None, "b", "SKIP"), ("a", None, "SKIP")],
+)
+def test_plan_sees_other_rows_of_equal_number(spark, recorded, found, action):
+    targets = spark.createDataFrame([(DAY, 5, found)], "dt string, record_count bigint, content string")
+    published = spark.createDataFrame([(DAY, 5)], "dt string, record_count bigint")
+    row = (DAY, "SUCCESS", "r1", START, None, 5, None, 1, recorded)
+    current = ledger.current(spark.createDataFrame([row], LEDGER))
+    assert [r.action for r in ledger.plan(targets, current, published).collect()] == [action]
+    assert [r.action for r in ledger.plan(targets, current, published, False).collect()] == ["SKIP"]
