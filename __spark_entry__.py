@@ -384,6 +384,14 @@ def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ledger_rows(_seeded_store(spark, by_rule, "ledger_current").current(spark))
 
 
+def ledger_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of every date after the log has been folded, twice."""
+    store = _seeded_store(spark, _counted_once(spark, sf_dir, "ledger_folded"), "ledger_folded")
+    store.fold(spark)
+    store.fold(spark)
+    return _ledger_rows(store.log(spark))
+
+
 def _plan(spark: SparkSession, sf_dir: str, name: str, detect_growth: bool) -> DataFrame:
     by_rule = _counted_once(spark, sf_dir, name)
     return ledger.plan(
@@ -566,9 +574,9 @@ def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _with_micros(catalog.read_table(spark, table), "generated_session_id", "dt")
 
 
-def publish_manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _in_three_runs(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Half of the dates twice, the other half once, and a run that never ended."""
-    path = scratch_path(spark, "publish_manifest")
+    path = scratch_path(spark, name)
     labelled = _sessionized(spark, sf_dir, GAP_12H)
     early = labelled.where(F.col("dt") <= SLICE_DATE)
     parts = (early.where("product_id % 2 = 0"), labelled.where(F.col("dt") > SLICE_DATE), early)
@@ -576,9 +584,29 @@ def publish_manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         expected = {r["dt"]: r["record_count"] for r in metrics.daily_counts(part).collect()}
         versions.publish_to_manifest(part, path, expected)
     publish.write_dates(early, f"{path}/{versions.VERSIONS}/run=unfinished")
+    return path
+
+
+def publish_manifest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _in_three_runs(spark, sf_dir, "publish_manifest")
     return _with_micros(versions.read_manifest(spark, path), "generated_session_id", "dt")
 
 
+def publish_replaced_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of the versions' folders once the replaced runs are removed."""
+    path = _in_three_runs(spark, sf_dir, "publish_replaced")
+    versions.remove_replaced(spark, path)
+    left = publish.read_events(spark, f"{path}/{versions.VERSIONS}")
+    return _with_micros(left, "generated_session_id", "dt")
+
+
+def published_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published rows of all dates and of one that is not there, by their folders."""
+    path = _published(spark, sf_dir, "published_dates", GAP_12H)
+    dates = [row["dt"] for row in calendar.target_dates(_dated(spark, sf_dir)).collect()]  # one per day
+    return _with_micros(publish.read_dates(spark, path, [*dates, "1999-01-01"]), "generated_session_id", "dt")
+
+
 def ledger_plan_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All dates finished; since then on every third day one row has another time."""
     dated = _dated(spark, sf_dir)
@@ -726,6 +754,7 @@ _QUERIES = (
     ledger_succeed,
     ledger_fail,
     ledger_current,
+    ledger_folded,
     ledger_plan,
     ledger_plan_sizes_ignored,
     batch_run,
@@ -739,6 +768,8 @@ _QUERIES = (
     batch_late_folder,
     publish_rollback,
     publish_manifest_roundtrip,
+    publish_replaced_removed,
+    published_dates,
     ledger_plan_content,
     session_ids_scan,
     session_ids_scan_gap12h,
@@ -967,6 +998,12 @@ FROM weeks""",
 SELECT dt AS partition_date, status, '{SEED_RUN}' AS run_id,
        CAST({_SEED_START_US} AS BIGINT) AS start_us, CAST(end_us AS BIGINT) AS end_us,
        recorded_count AS record_count, error_message, CAST(seq AS BIGINT) AS seq
+FROM state""",
+        "ledger_folded": _DAILY
+        + f""", {_SEED_STATE}
+SELECT dt AS partition_date, status, '{SEED_RUN}' AS run_id,
+       CAST({_SEED_START_US} AS BIGINT) AS start_us, CAST(end_us AS BIGINT) AS end_us,
+       recorded_count AS record_count, error_message, CAST(seq AS BIGINT) AS seq
 FROM state""",
         "ledger_plan": _plan_sql("REBUILD_GREW"),
         "ledger_plan_sizes_ignored": _plan_sql("SKIP"),
@@ -984,6 +1021,8 @@ FROM state""",
         + "SELECT dt, 'SUCCESS' AS status, record_count, record_count AS published_count FROM daily",
         "publish_rollback": half_day + published,
         "publish_manifest_roundtrip": half_day + published,
+        "publish_replaced_removed": half_day + published,
+        "published_dates": half_day + published,
         "ledger_plan_content": _DAILY
         + "SELECT dt, record_count AS source_count, record_count AS recorded_count,"
         " CASE WHEN CAST(substr(dt, 9, 2) AS INTEGER) % 3 = 0 THEN 'REBUILD_CHANGED' ELSE 'SKIP' END"

@@ -222,6 +222,21 @@ def test_a_manifest_shows_committed_runs_only(spark, labelled, tmp_path):
     )
 
 
+def test_replaced_and_unfinished_runs_are_removed_and_the_rest_stays(spark, labelled, tmp_path):
+    root = f"file://{tmp_path}/m"
+    versions.publish_to_manifest(labelled, root, counts(labelled), "a")
+    versions.publish_to_manifest(labelled, root, counts(labelled), "b")
+    one = labelled.where("dt = '2024-01-02' and user_id = 1")
+    versions.publish_to_manifest(one, root, {"2024-01-02": 1}, "c")
+    versions.write_version(one, root, {"2024-01-02": 1}, "unfinished")
+    before = sorted(versions.read_manifest(spark, root).collect(), key=str)
+    assert versions.remove_replaced(spark, root) == ["a", "unfinished"]
+    assert sorted(versions.read_manifest(spark, root).collect(), key=str) == before
+    assert versions.remove_replaced(spark, root) == []
+    versions.create_manifest(spark, f"file://{tmp_path}/new")
+    assert versions.remove_replaced(spark, f"file://{tmp_path}/new") == []
+
+
 # --- fingerprints ------------------------------------------------------------
 
 

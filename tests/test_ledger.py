@@ -112,3 +112,32 @@ def test_plan_sees_other_rows_of_equal_number(spark, recorded, found, action):
     current = ledger.current(spark.createDataFrame([row], LEDGER))
     assert [r.action for r in ledger.plan(targets, current, published).collect()] == [action]
     assert [r.action for r in ledger.plan(targets, current, published, False).collect()] == ["SKIP"]
+
+
+def test_a_folded_log_has_the_latest_change_of_every_date(store, spark, monkeypatch):
+    other = "2024-01-02"
+    store.append(ledger.begin(dates(spark, DAY, other), "r1", START, 1))
+    store.append(ledger.succeed(store.current(spark), of(spark, "record_count", "bigint", d2024_01_01=7), END, 2))
+    before = sorted(store.current(spark).collect())
+    with monkeypatch.context() as lost:  # the driver goes after the new file is there
+        lost.setattr("tidemark.sources.ledger_store.remove_files", lambda spark, paths: 0)
+        store.fold(spark)
+    assert store.log(spark).count() == 5 and sorted(store.current(spark).collect()) == before
+    assert store.fold(spark) > 1
+    assert sorted(store.log(spark).collect()) == before and store.next_seq(spark) == 3
+    assert store.fold(spark) == 0
+    store.append(ledger.begin(dates(spark, other), "r2", END, store.next_seq(spark)))
+    assert state(store, spark, other).run_id == "r2" and state(store, spark).status == "SUCCESS"
+
+
+def test_an_empty_log_and_one_in_a_path_with_spaces_fold(spark, tmp_path):
+    store = LedgerStore.at(f"file://{tmp_path}/my ledger%20x")
+    store.create(spark)
+    store.fold(spark)
+    assert store.current(spark).isEmpty()
+    for seq in (1, 2):
+        store.append(ledger.begin(dates(spark, DAY), f"r{seq}", START, seq))
+    assert store.fold(spark) >= 2
+    assert [r.run_id for r in store.log(spark).collect()] == ["r2"]
+    with pytest.raises(ValueError):
+        LedgerStore("jdbc", {}).fold(spark)

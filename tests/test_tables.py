@@ -109,6 +109,18 @@ def test_one_date_is_pruned_to_its_directory(spark, published):
     assert len(frame.inputFiles()) == 1 or frame.select(F.input_file_name()).distinct().count() == 1
 
 
+def test_some_dates_are_read_without_a_look_at_the_others(spark, published):
+    frame = publish.read_dates(spark, published, ["2024-01-02", "1999-01-01", "2024-01-02"])
+    assert {r.dt for r in frame.collect()} == {"2024-01-02"}
+    assert all("dt=2024-01-02" in name for name in frame.inputFiles())
+    assert "dt=2024-01-01" not in frame._jdf.queryExecution().executedPlan().toString()
+    whole = publish.read_events(spark, published)
+    assert frame.schema == whole.schema
+    assert sorted(frame.collect(), key=str) == sorted(whole.where("dt = '2024-01-02'").collect(), key=str)
+    assert publish.read_dates(spark, published, []).count() == 0
+    assert publish.published_counts(spark, published, ["1999-01-01"]).count() == 0
+
+
 def test_date_holding_most_rows_is_written_by_many_tasks(spark, tmp_path, conf):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="512k")
     n = F.col("id")

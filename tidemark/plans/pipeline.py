@@ -240,7 +240,7 @@ def _not_contained(staged: DataFrame, dates: list[str], output: str) -> set[str]
     """
     wanted = F.col(DATE).isin(dates)
     columns = [*RAW_EVENTS.names, DATE]
-    published = publish.read_events(staged.sparkSession, output).where(wanted)
+    published = publish.read_dates(staged.sparkSession, output, dates)
     lost = published.select(*columns).exceptAll(staged.where(wanted).select(*columns))
     return {row[DATE] for row in lost.select(DATE).distinct().collect()}  # dates
 
@@ -276,7 +276,7 @@ def _with_changed_sessions(
         looked_at.update(frontier)
         wanted = F.col(DATE).isin(frontier)
         now = sessionize_within(staged.where(wanted), staged, gap).select(*columns)
-        before = publish.read_events(staged.sparkSession, output).where(wanted).select(*columns)
+        before = publish.read_dates(staged.sparkSession, output, frontier).select(*columns)
         differ = {r[DATE] for r in now.exceptAll(before).select(DATE).distinct().collect()}
         if differ:
             # An equal number of other rows is no reason to lose the published ones.
@@ -289,7 +289,7 @@ def _append_statistics(
     spark: SparkSession, output: str, dates: list[str], run_id: str, path: str
 ) -> None:
     """Append the dates' counts, distinct values and bounds to a Parquet table."""
-    written = publish.read_events(spark, output).where(F.col(DATE).isin(dates))
+    written = publish.read_dates(spark, output, dates)
     stats = partition_stats(written).withColumn("run_id", F.lit(run_id))
     stats.coalesce(1).write.mode("append").parquet(path)  # one row per date
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ledger import current
 from tidemark.schema import LEDGER
+from tidemark.sources.files import remove_files
 
 
 @dataclass(frozen=True)
@@ -48,3 +50,24 @@ class LedgerStore:
     def next_seq(self, spark: SparkSession) -> int:
         """Number for the next change. Runs on one store must not overlap."""
         return self.log(spark).agg(F.coalesce(F.max("seq"), F.lit(0)) + 1).first()[0]
+
+    def fold(self, spark: SparkSession) -> int:
+        """Keep only the latest change of every date; files removed.
+
+        The latest changes are appended as a file of their own, and only when it
+        has been counted do the files before it go. Until then a date's latest
+        change is there twice, which makes no difference, so a driver may be lost
+        at any point. No run may use the store meanwhile. Earlier changes are gone.
+        A database table is folded by the database.
+        """
+        if self.format != "parquet":
+            raise ValueError(f"a ledger in {self.format} is not kept in files")
+        before = self.log(spark).inputFiles()
+        if len(before) < 2:
+            return 0
+        dates = self.log(spark).select("partition_date").distinct().count()
+        self.append(self.current(spark))
+        folded = sorted(set(self.log(spark).inputFiles()) - set(before))
+        if not folded or spark.read.schema(LEDGER).parquet(*map(unquote, folded)).count() != dates:
+            raise RuntimeError("the folded ledger lacks dates; the files before it stay")
+        return remove_files(spark, map(unquote, before))  # Spark names them as URIs

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import daily_counts
 from tidemark.schema import DATE, EVENTS
+from tidemark.sources.files import present
 
 
 def write_dates(dated: DataFrame, path: str, max_records_per_file: int = 0) -> None:
@@ -54,15 +55,27 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(path)
 
 
+def read_dates(spark: SparkSession, path: str, dates: Iterable[str]) -> DataFrame:
+    """Published events of some dates; other folders are not listed.
+
+    ``dates`` are local dates as text; those that are not published give no rows.
+    """
+    root, wanted = path.rstrip("/"), sorted(set(dates))
+    there = present(spark, [f"{root}/{DATE}={date}" for date in wanted])
+    if not there:
+        return spark.createDataFrame([], EVENTS)
+    found = spark.read.schema(EVENTS).option("basePath", root).parquet(*there)
+    return found.where(F.col(DATE).isin(wanted))
+
+
 def published_counts(
     spark: SparkSession, path: str, dates: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows per published date; a date without rows is absent.
 
-    Reads no column, only the row counts in the file footers, and with ``dates``
-    only those of their files.
+    Reads no column, only the row counts in the file footers. With ``dates`` only
+    their folders are looked at, however many others the table has.
     """
-    events = read_events(spark, path)
-    if dates is not None:
-        events = events.where(F.col(DATE).isin(list(dates)))
-    return daily_counts(events)
+    if dates is None:
+        return daily_counts(read_events(spark, path))
+    return daily_counts(read_dates(spark, path, dates))

@@ -20,6 +20,7 @@ from tidemark.operators.metrics import daily_counts
 from tidemark.schema import DATE, EVENTS
 from tidemark.sources import publish
 from tidemark.sources.catalog import DATES_PER_STATEMENT, quoted
+from tidemark.sources.files import folders, remove_files
 
 VERSIONS, STATES, MANIFESTS = "versions", "states", "manifests"
 
@@ -152,6 +153,24 @@ def read_manifest(
     return reader.parquet(*paths).select(*_COLUMNS)
 
 
+def remove_replaced(spark: SparkSession, root: str) -> list[str]:
+    """Remove what no date of the table is read from any more; the runs removed.
+
+    Those are replaced runs and runs that were never committed, so no run may be
+    writing: hold the table's claim. A reader that planned its query before loses
+    its files. A run that still has one date stays whole.
+    """
+    current = set(current_runs(spark, root).values())
+    gone = set()
+    for kind in (VERSIONS, STATES):
+        for name in folders(spark, f"{root.rstrip('/')}/{kind}"):
+            run_id = name.removeprefix("run=")
+            if name != run_id and run_id not in current:
+                remove_files(spark, [_folder(root, run_id, kind)])
+                gone.add(run_id)
+    return sorted(gone)
+
+
 def manifest_counts(spark: SparkSession, root: str) -> DataFrame:
     """Rows per published date, from the manifest alone."""
     return current_files(spark, root).groupBy(DATE).agg(F.sum("record_count").alias("record_count"))
