@@ -147,8 +147,7 @@ def test_curve_visits_every_cell_by_single_steps(spark, dimensions, bits):
 SHARDED = "doc_id bigint, text string, source string, lang string, n_chars bigint, slot int, curve string"
 
 
-def test_shards_are_even_runs_of_the_curve(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "PART_ROWS", 7)
+def test_shards_are_even_runs_of_the_curve(spark):
     draw = random.Random(4)
     rows = [(i, "t" * draw.randrange(90), draw.choice(("hot", "hot", f"s{i % 9}")), draw.choice(("en", "de", None)), i % 50, 1, "c") for i in range(500)]
     rows += [(600, None, None, None, None, 1, "c"), (601, "", "", "", 0, 1, "c"), (3, "again", "hot", "en", 3, 1, "c"), rows[9]]
@@ -173,6 +172,35 @@ def test_shards_are_even_runs_of_the_curve(spark, monkeypatch):
     assert sharding.assign(docs.where("false")).count() == 0
 
 
+def test_steps_and_places_follow_whole_values_and_all_rows(spark):
+    draw = random.Random(11)
+    hosts = [f"https://www.example-of-a-long-host-name.org/{i:02}" for i in range(40)]
+    rows = [
+        (draw.choice((i, 7, None)), draw.choice(("same", f"t{i}", None)), draw.choice((*hosts, hosts[3], None)),
+         draw.choice(("en", "de", "\U0001f600", "\uffee", "")), draw.choice((None, i, 2**60 + i)), 1, "c")
+        for i in range(300)
+    ] + [(9, "copy", hosts[5], "en", 4, 1, "c")] * 200
+    docs = spark.createDataFrame(rows, SHARDED)
+    bounds = dict(zip(sharding.DIMENSIONS, sharding.step_bounds(docs)))
+    for name, at in (("source", 2), ("lang", 3), ("n_chars", 4)):
+        key = lambda v: (v is not None, v.encode() if isinstance(v, str) else v or 0)
+        column = [key(r[at]) for r in rows]
+        steps = {v[1]: sum(o < v for o in column) * 32 // len(rows) for v in set(column) if v[0]}
+        least: dict = {}
+        for value, step in sorted(steps.items()):
+            least.setdefault(step, value)
+        least.pop(0, None)
+        assert [(s, v.encode() if isinstance(v, str) else v) for s, v in bounds[name]] == sorted(least.items())
+    assert len({step for step, _ in bounds["source"]}) > 15  # hosts that share 40 characters
+    found = sharding.assign(docs, shards=24).collect()
+    order = [(r.shard, r.slot, r.curve, r.text_crc32, r.doc_id if r.doc_id is not None else -1) for r in found]
+    order.sort()
+    assert [o[2:] for o in order] == sorted(o[2:] for o in order)
+    assert [o[:2] for o in order] == [
+        (s, k) for s in range(24) for k in range(sum(p * 24 // len(rows) == s for p in range(len(rows))))
+    ]
+
+
 # --- archives --------------------------------------------------------------
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:77>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"

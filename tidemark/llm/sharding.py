@@ -1,16 +1,17 @@
 """Shards along a Hilbert curve through several metadata dimensions.
 
-Each dimension is cut into 2^bits steps of about equally many rows; a row's
+Each dimension is cut into 2^bits steps of about equally many rows, from exact
+counts of its whole values; a row's
 steps are a cell of a grid, and cells are numbered along a Hilbert curve, on
 which near numbers are near in every dimension. Rows are put in the order of
 the curve and cut into runs of equal counts. So a file holds a small box of the
 grid, and readers that filter on any of the dimensions skip most files by the
 minimum and maximum in the footers.
 
-A row's place is the number of rows in the cells before it plus its place in
-its own. There are at most 2^(bits x dimensions) cells. A cell of many rows is
-split by a hash of the id, so that no task has to number more than about
-``PART_ROWS`` rows.
+A row's place is the number of rows before it in the order of curve, checksum of
+the text, id, and a number of its own. The rows are put in that order by ranges of
+all four, which a hot cell, a group of copies or a repeated id cannot make uneven;
+a place is the rows of the ranges before plus the place in its range.
 
 Built of DataFrame functions only.
 """
@@ -18,43 +19,86 @@ Built of DataFrame functions only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import BooleanType, IntegralType, NumericType, StringType
 
 from tidemark.llm.common import stored
 
 SHARDS = 24
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 5
-PART_ROWS = 16_384
 ROW_BYTES = 8
 
 
 def _ordered(docs: DataFrame, column: str) -> Column:
-    """The column as a number in the same order; NULL comes first.
-
-    Of a text the first six bytes count; what they leave equal lies in one step.
-    """
+    """The column as a value whose order Spark and Python literals share."""
     kind = docs.schema[column].dataType
+    if isinstance(kind, StringType):
+        return docs[column]
+    if isinstance(kind, (IntegralType, BooleanType)):
+        return docs[column].cast("bigint")
     if isinstance(kind, NumericType):
-        number = docs[column].cast("double")
-    elif isinstance(kind, StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(docs[column], "UTF-8"), 1, 6)), 12, "0")
-        number = F.conv(head, 16, 10).cast("double")
-    else:
-        number = F.unix_micros(docs[column].cast("timestamp")).cast("double")
-    return F.coalesce(number, F.lit(float("-inf")))
+        return docs[column].cast("double")
+    return F.unix_micros(docs[column].cast("timestamp"))
+
+
+def _ranged(frame: DataFrame, name: str, *keys: str) -> tuple[DataFrame, Column]:
+    """``frame`` stored in the order of ``keys``, with ``at``, and per run of it
+    its number ``run``.
+
+    ``at`` is the run's number times 2^33 plus the row's place in the run. Runs
+    are cut from a sample of the keys, so they are even if no key repeats.
+    """
+    ordered = frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    kept = stored(ordered.withColumn("at", F.monotonically_increasing_id()), name)
+    return kept, F.shiftright("at", 33).alias("run")
 
 
-def step_bounds(docs: DataFrame, dimensions: Sequence[str] = DIMENSIONS, bits: int = BITS) -> list[list[float]]:
-    """Per dimension the values at which a new step starts, by approximate
-    quantiles: fewer than 2^bits numbers each."""
-    steps = 1 << bits
-    shares = [i / steps for i in range(1, steps)]
-    found = docs.agg(*[F.percentile_approx(_ordered(docs, d), shares).alias(f"d{i}") for i, d in enumerate(dimensions)]).first()
-    return [sorted(set(found[f"d{i}"] or ())) for i in range(len(dimensions))]
+def step_bounds(
+    docs: DataFrame, dimensions: Sequence[str] = DIMENSIONS, bits: int = BITS
+) -> list[list[tuple[int, Any]]]:
+    """Per dimension the steps, fewer than 2^bits, and the least value of each.
+
+    A value's step is the share of rows with a smaller value, NULL being the
+    smallest, in units of 1 / 2^bits. Counted over all rows and compared whole:
+    rows are counted per value, the values put in order, and their counts summed
+    run by run.
+    """
+    return [_bounds(docs, dimension, 1 << bits) for dimension in dimensions]
+
+
+def _bounds(docs: DataFrame, dimension: str, steps: int) -> list[tuple[int, Any]]:
+    counted = stored(docs.groupBy(_ordered(docs, dimension).alias("value")).agg(F.count("*").alias("rows")), "values")
+    ordered, run = _ranged(counted, "values-in-order", "value")
+    starts, total = _starts(ordered.groupBy(run).agg(F.sum("rows").alias("rows")))
+    smaller = Window.partitionBy("run").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("start") + F.coalesce(F.sum("rows").over(smaller), F.lit(0))
+    step = F.expr(f"before * {steps} div {max(total, 1)}")
+    return [
+        (row["step"], row["value"])
+        for row in ordered.select("value", "rows", "at", run)
+        .join(F.broadcast(starts), "run")
+        .select("value", before.alias("before"))
+        .select("value", step.alias("step"))
+        .groupBy("step")
+        .agg(F.min("value").alias("value"))
+        .where("step > 0")
+        .orderBy("step")
+        .collect()  # fewer than `steps` rows
+    ]
+
+
+def _starts(runs: DataFrame) -> tuple[DataFrame, int]:
+    """``run, start``: rows in the runs before; and the rows of all. One row per
+    run, of which there are as many as shuffle partitions."""
+    total, listed = 0, []
+    for row in runs.orderBy("run").collect():
+        listed.append((row["run"], total))
+        total += row["rows"]
+    return runs.sparkSession.createDataFrame(listed, "run bigint, start bigint"), total
 
 
 def curve_tables(dimensions: int) -> tuple[list[int], list[int], list[int], list[int]]:
@@ -109,10 +153,12 @@ def hilbert_index(steps: Sequence[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*corners), first, level, lambda state: state["index"])
 
 
-def _step(value: Column, bounds: Sequence[float]) -> Column:
-    """How many bounds lie at or below the value."""
-    at = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(at, lambda b: b <= value)).cast("int")
+def _step(value: Column, bounds: Sequence[tuple[int, Any]]) -> Column:
+    """The step that the value lies in; NULL in the lowest."""
+    step = F.lit(0)
+    for number, least in bounds:  # ascending: the last one that is reached counts
+        step = F.when(value >= F.lit(least), number).otherwise(step)
+    return step.cast("int")
 
 
 def assign(
@@ -127,13 +173,13 @@ def assign(
     """``doc_id, size, text_crc32, curve, shard, slot`` and the columns ``carry``.
 
     Shard counts differ by one at most, and a shard's slots are 0, 1, ... in
-    the order of the curve; within a cell equal texts of one part stand
+    the order of curve, ``text_crc32`` and id, so that equal texts of a cell stand
     together. A NULL dimension is the lowest step, a NULL text has no bytes. A
     repeated row gets a place of its own. An empty table gives an empty result.
     ``size`` is the text's UTF-8 bytes plus ``ROW_BYTES``.
     """
     if len(dimensions) * bits > 18:
-        raise ValueError("a grid has at most 2^18 cells")
+        raise ValueError("the curve has at most 2^18 cells")
     bounds = step_bounds(docs, dimensions, bits)
     steps = [_step(_ordered(docs, d), b) for d, b in zip(dimensions, bounds)]
     text = F.coalesce(docs[text_column], F.lit(""))
@@ -145,32 +191,12 @@ def assign(
         hilbert_index(steps, bits).alias("curve"),
         *[docs[c].alias(name) for c, name in zip(carry, carried)],
     )
-    rows = stored(rows, "curve-rows")
-
-    cells = rows.groupBy("curve").agg(F.count("*").alias("rows"))
-    before, listed = 0, []
-    for cell in cells.orderBy("curve").collect():  # at most 2^(bits x dimensions) rows
-        listed.append((cell["curve"], before, -(-cell["rows"] // PART_ROWS)))
-        before += cell["rows"]
-    total = before
-    spark = docs.sparkSession
-    places = spark.createDataFrame(listed, "curve bigint, before bigint, parts bigint")
-
-    part = F.pmod(F.xxhash64("doc_id"), F.col("parts"))
-    parted = rows.join(F.broadcast(places), "curve").withColumn("part", part)
-    by_cell = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    part_starts = (
-        parted.groupBy("curve", "part")
-        .agg(F.count("*").alias("rows"), F.first("before").alias("cell_start"))
-        .select(
-            "curve",
-            "part",
-            (F.col("cell_start") + F.coalesce(F.sum("rows").over(by_cell), F.lit(0))).alias("part_start"),
-        )
-    )
-    in_part = Window.partitionBy("curve", "part").orderBy("text_crc32", "doc_id")
-    place = F.col("part_start") + F.row_number().over(in_part) - 1
-    numbered = parted.join(part_starts, ["curve", "part"]).withColumn("place", place)
+    # The row's own number ends every tie, so that no run grows with copies.
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "curve-rows")
+    ordered, run = _ranged(rows, "rows-in-order", "curve", "text_crc32", "doc_id", "row")
+    starts, total = _starts(ordered.groupBy(run).agg(F.count("*").alias("rows")))
+    in_run = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ordered.select("*", run).join(F.broadcast(starts), "run").withColumn("place", F.col("start") + in_run)
     # The first place of a shard is the least one that falls into it.
     exact = F.expr(f"place * {shards} div {max(total, 1)}")
     first = F.expr(f"(shard * {max(total, 1)} + {shards - 1}) div {shards}")
