@@ -133,8 +133,10 @@ def exam(spark):
     return items
 
 
-def test_planted_items_are_found_and_nothing_else(spark, exam, monkeypatch):
+@pytest.mark.parametrize("shards_at_once", [1, 8])
+def test_planted_items_are_found_and_nothing_else(spark, exam, monkeypatch, shards_at_once):
     monkeypatch.setattr(decontaminate, "SHARD_PARTS", 10)
+    monkeypatch.setattr(decontaminate, "SHARDS_AT_ONCE", shards_at_once)
     text = dict(exam)
     rows = [(i, " ".join(words(5_000 + i, 400)), "en", "s") for i in range(20)]
     rows[3] = (3, " ".join(words(1, 100)) + " " + text[7].upper() + " " + " ".join(words(2, 300)), "en", "s")
@@ -182,16 +184,42 @@ def test_long_items_are_verified_as_a_whole(spark):
 
 def test_retrieval_equals_scoring_every_item(spark, exam):
     items = spark.createDataFrame(exam, "item_id bigint, text string")
-    index = next(iter(decontaminate.index_shards(items))).value
-    for seed in range(40):
-        item = index.parts[seed % len(index.parts)]
-        passage = words(seed + 70, 60) + (item[2] + item[3])[: 5 + seed]
-        terms = {t for t in passage if t in index.ids}
-        ids = decontaminate.np.array(sorted({index.ids.get(t, 0) for t in passage}))
-        expected = {
-            i for i, w in enumerate(index.weights) if sum(w.get(t, 0.0) for t in terms) >= decontaminate.LEAST_SCORE
-        }
-        assert {i for i, _ in index.search(ids, set(passage), decontaminate.LEAST_SCORE)} == expected
+    [shard], last = next(iter(decontaminate.index_shards(items)))
+    assert last
+    index = shard.value
+    weights = [{} for _ in index.parts]
+    for term, number in index.ids.items():
+        for entry in range(index.heads[number], index.heads[number + 1]):
+            for at in range(index.starts[entry], index.starts[entry + 1]):
+                assert index.blocks[entry] == index.held[at] // decontaminate.BLOCK_PARTS
+                assert index.weight[at] <= index.most[entry] <= index.bound[number]
+                weights[index.held[at]][term] = index.weight[at]
+    # Each part's own words, no more, no less, and a score of 1 against itself.
+    assert all(set(w) == set(p[2] + p[3]) and abs(sum(w.values()) - 1) < 1e-9 for w, p in zip(weights, index.parts))
+    passages = [
+        words(seed + 70, 60) + (item[2] + item[3])[: 5 + seed]
+        for seed in range(40)
+        for item in [index.parts[seed % len(index.parts)]]
+    ]
+    expected = {
+        (n, i)
+        for n, passage in enumerate(passages)
+        for i, w in enumerate(weights)
+        if sum(w.get(t, 0.0) for t in set(passage)) >= decontaminate.LEAST_SCORE
+    }
+    pairs = [(n, t) for n, passage in enumerate(passages) for t in {index.ids.get(w, 0) for w in passage}]
+    numbers, terms = decontaminate.np.array(pairs).T
+    found = list(index.search(numbers, terms, decontaminate.LEAST_SCORE))
+    assert expected and {(n, i) for n, i, _ in found} == expected and len(found) == len(expected)
+
+
+def test_items_without_id_and_of_scripts_without_spaces(spark):
+    draw = random.Random(4)
+    han = "".join(chr(0x4E00 + draw.randrange(3_000)) for _ in range(60))
+    items = [(None, " ".join(words(1, 30))), (2**60 + 1, han)]
+    rows = [(1, "x " + items[0][1], "en", "s"), (2, "前" + han[:50] + "，" + han[50:] + "后", "zh", "s"), (3, han[::-1], "zh", "s")]
+    found = decontaminate.contaminated(docs_of(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, None), (2, 2**60 + 1)]
 
 
 def test_no_items_and_no_documents(spark, exam):

@@ -4,11 +4,14 @@ The *test items* are indexed, and every passage of every training document is a
 query. An item's score is BM25 of the passage's distinct words divided by the
 score of the item against itself, so one threshold fits items of any length.
 All items at or above the threshold are retrieved by block-max WAND: items lie
-in blocks, every word knows its largest contribution within each block, and a
-block is opened only if the contributions of the passage's words add up to the
-threshold. Nothing is ranked or cut off, so the threshold never rises and the
-blocks of a passage are bounded all at once. Before that, passages whose words
-cannot reach the threshold in any block are left out together, by running sums.
+in blocks, a word's postings name the blocks that hold it with its largest
+contribution in each, and a block is opened only if the contributions of the
+passage's words add up to the threshold. Nothing is ranked or cut off, so the
+threshold never rises, no cursor has to wait for another, and the postings of
+all words of some passages are merged at once. Words of no item have no
+postings, blocks without a word of the passage are never met. Before that,
+passages whose words cannot reach the threshold in any block are left out
+together, by running sums.
 
 What is retrieved is then verified in word order: the trigrams of the item's
 question and of its answer must both be found in the passage. The answer is the
@@ -19,15 +22,20 @@ passages overlap by as much, so every part that a document holds lies within a
 passage. Parts only retrieve: the whole question and the whole answer must be
 found in the words that the item would fill around the parts retrieved. Of an
 item without an answer, a part is enough.
-The index is built by Spark and sent out in shards of about ``SHARD_PARTS``
-parts, an item's all in one; documents are scanned once per shard and never
-shuffled.
+Each shard of about ``SHARD_PARTS`` parts, an item's all in one, is indexed by a
+Spark task and written to the shared folder. Up to ``SHARDS_AT_ONCE`` of them are
+broadcast together and searched by one scan of the documents, which are never
+shuffled; further ones by further scans, each after the last has been written
+and its shards released, so no executor holds more of them.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -43,17 +51,25 @@ K1, B = 1.2, 0.75
 PART_WORDS = 64
 PASSAGE_WORDS, STRIDE = 128, 64
 SHARD_PARTS = 2_000
+SHARDS_AT_ONCE = 8
 BLOCK_PARTS = 8
+# Passages of a text that are searched at a time.
+PASSAGES_AT_ONCE = 256
 LEAST_SCORE = 0.6
 LEAST_OVERLAP = 0.5
 GRAM = 3
 
+# Scripts without spaces between words: Thai to Burmese, Khmer, kana, Han.
+_UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
 _WORD = re.compile(r"\w+")
+_WORD_OR_SIGN = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _SENTENCE = re.compile(r"(?<=[.!?…。])\s+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Lower-case words; of a script without spaces every sign is one."""
+    lower = (text or "").lower()
+    return (_WORD if lower.isascii() else _WORD_OR_SIGN).findall(lower)
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -104,30 +120,57 @@ def item_parts(items: DataFrame, id_column: str = "item_id", text_column: str =
                     rows.append((item, digest, part, both[at:cut], both[cut:end]))
             yield pd.DataFrame(rows, columns=["item_id", "item_text", "part", "question", "answer"])
 
-    kind = items.schema[id_column].dataType.simpleString()
-    schema = f"item_id {kind}, item_text string, part int, question array<string>, answer array<string>"
-    rows = items.select(F.col(id_column).alias("item_id"), F.col(text_column).alias("text"))
-    return rows.withColumn("item_text", F.sha2(F.coalesce("text", F.lit("")), 256)).distinct().mapInPandas(run, schema)
+    # Ids go as text: pandas would turn numbers with a NULL among them into floats.
+    rows = items.select(F.col(id_column).cast("string").alias("item_id"), F.col(text_column).alias("text"))
+    rows = rows.withColumn("item_text", F.sha2(F.coalesce("text", F.lit("")), 256)).distinct()
+    schema = "item_id string, item_text string, part int, question array<string>, answer array<string>"
+    return rows.mapInPandas(run, schema).withColumn("item_id", F.col("item_id").cast(items.schema[id_column].dataType))
+
+
+def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges low to high, each with its range's number."""
+    size = high - low
+    which = np.repeat(np.arange(len(low)), size)
+    return which, np.arange(len(which)) + np.repeat(low - (np.cumsum(size) - size), size)
+
+
+class _Packed:
+    """A pickled value, so that the driver passes it on without opening it."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __reduce__(self):
+        return pickle.loads, (self.data,)
 
 
 class BlockMaxIndex:
-    """Postings of some item parts, and per word and block its largest weight."""
+    """Postings of some item parts, by block and within the blocks.
+
+    Word ``t`` is in the blocks ``blocks[heads[t]:heads[t + 1]]``, with the
+    largest weight ``most`` in each; entry ``e`` of these stands for the parts
+    ``held[starts[e]:starts[e + 1]]``, with ``weight``.
+    """
 
     def __init__(self, parts: list, weights: list[dict[str, float]], block: int = BLOCK_PARTS):
         # Parts that share rare words lie together, so that blocks are tight.
         order = sorted(range(len(parts)), key=lambda i: max((w, t) for t, w in weights[i].items())[1])
         self.parts = [parts[i] for i in order]
-        self.weights = [weights[i] for i in order]
-        self.block = block
+        self.n_blocks = -(-len(parts) // block)
+        # Number 0 stands for words of no item.
         self.ids = {t: i + 1 for i, t in enumerate(sorted({t for w in weights for t in w}))}
-        blocks = -(-len(parts) // block)
-        # Row 0 stands for words of no item.
-        self.most = np.zeros((len(self.ids) + 1, blocks), np.float32)
-        for i, weight in enumerate(self.weights):
-            for term, value in weight.items():
-                row = self.ids[term]
-                self.most[row, i // block] = max(self.most[row, i // block], value)
-        self.bound = self.most.max(axis=1) if blocks else np.zeros(1, np.float32)
+        entries = sorted((self.ids[t], at, w) for at, i in enumerate(order) for t, w in weights[i].items())
+        term = np.array([e[0] for e in entries], np.int64)
+        self.held = np.array([e[1] for e in entries], np.int64)
+        self.weight = np.array([e[2] for e in entries], np.float64)
+        run = term * max(self.n_blocks, 1) + self.held // block
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        self.starts = np.append(first, len(run))
+        self.blocks = self.held[first] // block
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.heads = np.searchsorted(term[first], np.arange(len(self.ids) + 2))
+        self.bound = np.zeros(len(self.ids) + 1)
+        np.maximum.at(self.bound, term, self.weight)
         # Per item of several parts its question and answer, and per part of it
         # how many of the item's words lie ahead of it.
         self.whole: dict[tuple, tuple[list[str], list[str]]] = {}
@@ -140,16 +183,21 @@ class BlockMaxIndex:
                 asked += question
                 answered += answer
 
-    def search(self, terms: np.ndarray, found: set[str], least: float) -> list[tuple[int, float]]:
-        """All parts that score ``least`` or more, with their score."""
-        hits = []
-        for block in np.flatnonzero(self.most[terms].sum(axis=0) >= least - 1e-4):
-            for i in range(block * self.block, min((block + 1) * self.block, len(self.parts))):
-                weight = self.weights[i]
-                score = sum(weight[t] for t in weight.keys() & found)
-                if score >= least:
-                    hits.append((i, score))
-        return hits
+    def search(self, passage: np.ndarray, term: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
+        """All (passage, part, score) of ``least`` or more, in that order.
+
+        ``passage`` and ``term`` are distinct pairs: passages are numbered from 0.
+        """
+        at, entry = _spread(self.heads[term], self.heads[term + 1])
+        block = passage[at] * self.n_blocks + self.blocks[entry]
+        opened = np.bincount(block, self.most[entry]) >= least - 1e-4
+        inside = opened[block]
+        passage, entry = passage[at[inside]], entry[inside]
+        at, posting = _spread(self.starts[entry], self.starts[entry + 1])
+        pair, place = np.unique(passage[at] * len(self.parts) + self.held[posting], return_inverse=True)
+        score = np.bincount(place, self.weight[posting], len(pair))
+        for i in np.flatnonzero(score >= least):
+            yield *map(int, divmod(pair[i], len(self.parts))), float(score[i])
 
     def hits(self, text: str | None, least: float, least_overlap: float) -> list[tuple]:
         """Verified items in a text: (item, part, passage start, score, question
@@ -157,29 +205,31 @@ class BlockMaxIndex:
         found = words(text)
         if not found or not self.parts:
             return []
-        ids = np.fromiter(map(self.ids.get, found, (0 for _ in found)), np.int64, len(found))
+        ids = np.fromiter(map(self.ids.get, found, repeat(0)), np.int64, len(found))
         starts = np.arange(0, max(len(found) - PASSAGE_WORDS + STRIDE, 1), STRIDE)
         ends = np.minimum(starts + PASSAGE_WORDS, len(found))
-        sums = np.concatenate([[0.0], np.cumsum(self.bound[ids], dtype=np.float64)])
+        sums = np.concatenate([[0.0], np.cumsum(self.bound[ids])])
+        open_passages = np.flatnonzero(sums[ends] - sums[starts] >= least - 1e-4)
         best: dict[tuple, tuple] = {}
         long: dict[tuple, list[tuple]] = {}
-        for at in np.flatnonzero(sums[ends] - sums[starts] >= least - 1e-4):
-            start, end = starts[at], ends[at]
-            terms = np.unique(ids[start:end])
-            passage = found[start:end]
-            retrieved = self.search(terms, set(passage), least)
-            if not retrieved:
-                continue
-            there = _passage_grams(passage)
-            for i, score in retrieved:
+        for low in range(0, len(open_passages), PASSAGES_AT_ONCE):
+            chosen = open_passages[low : low + PASSAGES_AT_ONCE]
+            at, word = _spread(starts[chosen], ends[chosen])
+            pairs = np.unique(at * len(self.bound) + ids[word])
+            passage, term = np.divmod(pairs, len(self.bound))
+            there, last = set(), -1
+            for at, i, score in self.search(passage, term, least):
+                start, end = int(starts[chosen[at]]), int(ends[chosen[at]])
+                if at != last:
+                    there, last = _passage_grams(found[start:end]), at
                 item, part, question, answer, text_digest = self.parts[i]
                 asked = overlap(question, there)
                 if (text_digest, item) in self.whole:
-                    long.setdefault((text_digest, item), []).append((part, int(start), float(score), asked))
+                    long.setdefault((text_digest, item), []).append((part, start, score, asked))
                     continue
                 answered = overlap(answer, there)
                 if min(asked, answered) >= least_overlap:
-                    hit = (item, part, int(start), float(score), asked, answered)
+                    hit = (item, part, start, score, asked, answered)
                     if item not in best or best[item][3] < score:
                         best[item] = hit
         for key, retrieved in long.items():
@@ -214,46 +264,68 @@ class BlockMaxIndex:
         return key[1], part, start, score, asked, answered
 
 
-def index_shards(
-    items: DataFrame, id_column: str = "item_id", text_column: str = "text", shard_parts: int = SHARD_PARTS
-) -> Iterator[Broadcast]:
-    """BM25 indexes of all items, each broadcast with about ``shard_parts`` parts
-    of at most ``PART_WORDS`` words; parts of one item are not separated."""
-    spark = items.sparkSession
-    parts = stored(item_parts(items, id_column, text_column), "item-parts")
+def stored_indexes(
+    items: DataFrame, id_column: str = "item_id", text_column: str = "text", shard_parts: int | None = None
+) -> DataFrame:
+    """``shard, index``: BM25 indexes of all items, each of about ``shard_parts``
+    parts of at most ``PART_WORDS`` words; parts of one item are not separated.
+
+    A task makes an index, which is one binary row in the shared folder. Item
+    ids are text in an index. Without items there is no row.
+    """
+    parts = item_parts(items, id_column, text_column).withColumn("item_id", F.col("item_id").cast("string"))
+    parts = stored(parts, "item-parts")
     total = parts.agg(F.count("*").alias("parts"), F.avg(F.size("question") + F.size("answer")).alias("words")).first()
-    if not total["parts"]:
-        return
+    key = F.struct("item_id", "item_text", "part").alias("key")
     terms = parts.select(
-        "item_id",
-        "item_text",
-        "part",
+        key,
         (F.size("question") + F.size("answer")).alias("words"),
         F.explode(F.concat("question", "answer")).alias("term"),
     )
-    counted = terms.groupBy("item_id", "item_text", "part", "term", "words").agg(F.count("*").alias("times"))
+    counted = terms.groupBy("key", "term", "words").agg(F.count("*").alias("times"))
     held_by = counted.groupBy("term").agg(F.count("*").alias("holders"))
     idf = F.log(1 + (total["parts"] - F.col("holders") + 0.5) / (F.col("holders") + 0.5))
     times = F.col("times") * (K1 + 1) / (
-        F.col("times") + K1 * (1 - B + B * F.col("words") / F.lit(total["words"]))
+        F.col("times") + K1 * (1 - B + B * F.col("words") / F.lit(total["words"] or 1.0))
     )
     weighted = (
         counted.join(held_by, "term")
-        .groupBy("item_id", "item_text", "part")
-        .agg(F.collect_list(F.struct("term", (idf * times).alias("weight"))).alias("weights"))
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("term", (idf * times).alias("weight")))).alias("weights"))
     )
-    shards = -(-total["parts"] // shard_parts)
-    shard = F.pmod(F.xxhash64("item_id", "item_text"), F.lit(shards)).alias("shard")
-    ready = stored(parts.join(weighted, ["item_id", "item_text", "part"]).select("*", shard), "item-weights")
-    for number in range(shards):
-        # About shard_parts rows of at most PART_WORDS words.
-        rows = ready.where(F.col("shard") == number).orderBy("item_id", "item_text", "part").collect()
-        own = []
-        for row in rows:
-            whole = sum(w["weight"] for w in row["weights"])
-            own.append({w["term"]: w["weight"] / whole for w in row["weights"]})
-        held = [(r["item_id"], r["part"], r["question"], r["answer"], r["item_text"]) for r in rows]
-        yield spark.sparkContext.broadcast(BlockMaxIndex(held, own))
+    shards = max(-(-total["parts"] // (shard_parts or SHARD_PARTS)), 1)
+    ready = (
+        parts.withColumn("key", key)
+        .join(weighted, "key")
+        .select(
+            F.pmod(F.xxhash64("key.item_id", "key.item_text"), F.lit(shards)).cast("int").alias("shard"),
+            "key.*", "question", "answer", F.col("weights.term").alias("terms"), F.col("weights.weight").alias("weights"),
+        )
+    )
+
+    def indexed(rows: pd.DataFrame) -> pd.DataFrame:
+        own, held = [], []
+        for row in sorted(rows.itertuples(), key=lambda r: (r.item_id or "", r.item_text, r.part)):
+            whole = sum(row.weights)
+            own.append({term: weight / whole for term, weight in zip(row.terms, row.weights)})
+            held.append((row.item_id, row.part, list(row.question), list(row.answer), row.item_text))
+        index = pickle.dumps(BlockMaxIndex(held, own))
+        return pd.DataFrame({"shard": rows["shard"].iloc[:1], "index": [index]})
+
+    return stored(ready.groupBy("shard").applyInPandas(indexed, "shard int, index binary"), "item-indexes")
+
+
+def index_shards(
+    items: DataFrame, id_column: str = "item_id", text_column: str = "text", shard_parts: int | None = None
+) -> Iterator[tuple[list[Broadcast], bool]]:
+    """Up to ``SHARDS_AT_ONCE`` broadcast indexes at a time, and whether they are
+    the last ones. The driver reads one row after another and opens none."""
+    indexes = stored_indexes(items, id_column, text_column, shard_parts)
+    numbers = sorted(row["shard"] for row in indexes.select("shard").collect())
+    for at in range(0, len(numbers), SHARDS_AT_ONCE):
+        rows = (indexes.where(F.col("shard") == n).first() for n in numbers[at : at + SHARDS_AT_ONCE])
+        shards = [items.sparkSession.sparkContext.broadcast(_Packed(bytes(row["index"]))) for row in rows]
+        yield shards, at + SHARDS_AT_ONCE >= len(numbers)
 
 
 _HIT = (
@@ -262,19 +334,16 @@ _HIT = (
 )
 
 
-def with_hits(
+def _with_hits(
     docs: DataFrame,
-    items: DataFrame,
+    shards: list[Broadcast],
     name: str,
-    text_column: str = "text",
-    item_id: str = "item_id",
-    item_text: str = "text",
+    text_column: str,
+    kind: str,
     least_score: float = LEAST_SCORE,
     least_overlap: float = LEAST_OVERLAP,
 ) -> DataFrame:
-    """``docs`` with a column ``name``: the test items found in each text."""
-    kind = items.schema[item_id].dataType.simpleString()
-    hit_type = _HIT.format(kind=kind)
+    """``docs`` with a column ``name``: the items of some shards found in each text."""
     fields = ("item_id", "part", "passage_start", "score", "question_overlap", "answer_overlap")
 
     def searching(shard: Broadcast):
@@ -283,14 +352,16 @@ def with_hits(
             return pd.Series([[dict(zip(fields, h)) for h in hits] for hits in found], dtype=object)
 
         search.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-        return F.pandas_udf(search, hit_type)
+        return F.pandas_udf(search, _HIT.format(kind="string"))
 
-    columns = [
-        searching(shard)(docs[text_column]) for shard in index_shards(items, item_id, item_text)
-    ]
-    if not columns:
-        return docs.withColumn(name, F.array().cast(hit_type))
-    return docs.withColumn(name, F.concat(*columns))
+    columns = [searching(shard)(docs[text_column]) for shard in shards]
+    hits = F.concat(*columns) if columns else F.array()
+    return docs.withColumn(name, hits.cast(_HIT.format(kind=kind)))
+
+
+def _release(shards: list[Broadcast]) -> None:
+    for shard in shards:
+        shard.destroy()
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -314,12 +385,23 @@ def contaminated(
 
     ``part``, ``passage_start`` and ``score`` are of the part that scores most.
     Documents without such a passage have no row. A NULL or blank text or item
-    holds nothing; two equal items are both found; a repeated document is
-    listed as often as it occurs.
+    holds nothing; an item without an id is found like others; two equal items
+    are both found; a repeated document is listed as often as it occurs.
     """
+    kind = items.schema[item_id].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    found = with_hits(rows, items, "hits", "text", item_id, item_text, least_score, least_overlap)
-    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+    def found_by(shards: list[Broadcast]) -> DataFrame:
+        found = _with_hits(rows, shards, "hits", "text", kind, least_score, least_overlap)
+        return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+    written = []
+    for shards, last in index_shards(items, item_id, item_text):
+        if last and not written:
+            return found_by(shards)
+        written.append(stored(found_by(shards), "hits"))
+        _release(shards)
+    return reduce(DataFrame.unionByName, written) if written else found_by([])
 
 
 def drop_contaminated(
@@ -329,7 +411,15 @@ def drop_contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """Rows of ``docs``, unchanged, that hold no test item."""
-    name = _fresh(docs, "hits")
-    found = with_hits(docs, items, name, text_column, item_id, item_text)
-    return found.where(F.size(name) == 0).select(*[found[c] for c in docs.columns])
+    """Rows of ``docs``, unchanged, that hold no test item.
+
+    A pass over further shards reads what the passes before have kept.
+    """
+    name, columns, kind = _fresh(docs, "hits"), docs.columns, items.schema[item_id].dataType.simpleString()
+    for shards, last in index_shards(items, item_id, item_text):
+        found = _with_hits(docs, shards, name, text_column, kind)
+        docs = found.where(F.size(name) == 0).select(*[found[c] for c in columns])
+        if not last:
+            docs = stored(docs, "no-hits")
+            _release(shards)
+    return docs
