@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.weekly import sessionized_events
 from tidemark.schema import EVENTS, RAW_EVENTS
-from tidemark.session import build_session, shared_dir, shuffle_partitions, shuffle_width
+from tidemark.session import build_session, scratch_path, scratch_run, shared_dir, shuffle_partitions, shuffle_width
 from tidemark.sources import catalog, publish, raw
+from tidemark.sources.files import folders, present
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
 
@@ -250,3 +251,23 @@ def test_shuffle_width(spark):
     with shuffle_width(spark, 10):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_scratch_of_a_run_goes_with_it(spark):
+    outside = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(outside)
+    with scratch_run(spark) as folder:
+        first = scratch_path(spark, "first")
+        spark.range(5).write.parquet(first)
+        with scratch_run(spark) as inner:
+            spark.range(2).write.parquet(scratch_path(spark, "second"))
+            assert inner.startswith(folder) and len(folders(spark, inner)) == 1
+        assert present(spark, [first, inner]) == [first]
+    assert present(spark, [folder, outside]) == [outside]
+    assert not scratch_path(spark, "later").startswith(folder)
+    with pytest.raises(ValueError), scratch_run(spark) as folder:
+        spark.range(1).write.parquet(scratch_path(spark, "lost"))
+        raise ValueError
+    assert present(spark, [folder]) == []
+    with scratch_run(spark):
+        pass  # nothing was written

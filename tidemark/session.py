@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+from tidemark.sources.files import remove_files
+
+log = logging.getLogger(__name__)
+
+# Where scratch tables of the run at hand lie, if it has a folder of its own.
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 SETTINGS = {
     # Times are stored and shown in UTC; only the derived date is local.
     "spark.sql.session.timeZone": "UTC",
@@ -122,4 +132,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    folder = _RUN_FOLDER.get() or f"{shared_dir(spark)}/tidemark"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for all scratch tables written meanwhile, deleted at the end.
+
+    Results are lazy and may read such tables, so write or collect them inside.
+    The folder goes by path, also after a failure; if it cannot go, that is logged; a run within a run has a
+    folder inside the outer one. Yields the folder.
+    """
+    folder = scratch_path(spark, "run")
+    before = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(before)
+        try:
+            remove_files(spark, [folder])
+        except Py4JJavaError as error:
+            log.warning("scratch tables in %s stay: %s", folder, error)
