@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, exact_dedup, pieces, quality, simhash
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, scratch_run
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +49,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; every stage is written and read again."""
+    """All stages on ``documents``; every stage is written and read again.
+
+    What a stage itself writes on the way is deleted as soon as its rows are.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         path = scratch_path(spark, f"pipeline-{number}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_run(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
