@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,13 +135,30 @@ def word_counts(rows: DataFrame, features: list[str]) -> DataFrame:
     return map_rows(rows.select("doc_id", "text"), run, "places array<int>, times array<bigint>")
 
 
+def holders(counted: DataFrame, features: int) -> DataFrame:
+    """``place`` and ``n``: in how many of a task's rows a word occurs.
+
+    A task adds up its own rows, so it makes one row per word it has seen,
+    however many rows hold the word.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(features, np.int64)
+        for batch in batches:
+            held += np.bincount(batch.column(0).flatten().to_numpy(), minlength=features)
+        seen = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(held[seen])], ["place", "n"])
+
+    return counted.select("places").mapInArrow(run, "place int, n bigint")
+
+
 def inverse_frequencies(counted: DataFrame, features: int) -> np.ndarray:
     """1 + log(documents / documents that have the word), over all documents."""
-    held = counted.select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("n"))
-    documents, holders = counted.count(), np.zeros(features)
+    held = holders(counted, features).groupBy("place").agg(F.sum("n").alias("n"))
+    documents, having = counted.count(), np.zeros(features)
     for row in held.collect():  # one row per feature
-        holders[row["place"]] = row["n"]
-    return 1 + np.log((documents + 1) / (holders + 1))
+        having[row["place"]] = row["n"]
+    return 1 + np.log((documents + 1) / (having + 1))
 
 
 def vector(places: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
