@@ -178,6 +178,57 @@ def test_late_event_reaches_over_many_dates(job):
     assert {i for _, i in job.ids() if i[:2] == "7_"} == {"7_20190930233000"}
 
 
+def test_change_over_many_dates_moves_the_history_once(job, monkeypatch):
+    hours = [("7", f"2019-10-{d:02} {h:02}:00:00 UTC") for d in range(1, 10) for h in range(24)]
+    job.add("long.csv", *hours)
+    job.run(gap=3601)
+    job.add("late.csv", ("7", "2019-09-30 23:30:00 UTC"))
+    calls = []
+    for name in ("session_cells", "sessionize_by", "sessionize_within"):
+        true = getattr(pipeline, name)
+        monkeypatch.setattr(pipeline, name, lambda *a, name=name, true=true: (calls.append(name), true(*a))[1])
+    changed = job.run(gap=3601)
+    assert changed.dates("REBUILD_SESSION") == [f"2019-10-{d:02}" for d in range(2, 11)]
+    # Nine dates in passes of one, two, four and the last two.
+    assert calls == ["session_cells"] + 4 * ["sessionize_by"]
+    assert {i for _, i in job.ids() if i[:2] == "7_"} == {"7_20190930233000"}
+    assert not (job.root / "checkpoint" / "stages" / job.table).exists()
+
+
+def test_date_that_differs_is_left_where_no_change_reaches_it(job):
+    job.add("more.csv", ("2", "2019-10-04 01:00:00 UTC"), ("2", "2019-10-04 01:30:00 UTC"))
+    job.run()
+    job.add("late.csv", ("9", "2019-10-01 01:00:00 UTC"))
+    # The wider gap joins sessions of the 2nd and of the 4th, none of the 3rd.
+    assert job.actions(gap=3601) == {
+        "2019-10-01": "REBUILD_GREW", "2019-10-02": "REBUILD_SESSION", "2019-10-03": "SKIP", "2019-10-04": "SKIP",
+    }
+
+
+def test_dates_with_rows_the_others_lack(spark):
+    def rows(*listed):
+        return spark.createDataFrame(listed, "a int, b string, dt string")
+
+    some = rows(
+        (1, "x", "same"), (None, "x", "same"), (1, None, "same"),
+        (1, "x", "copies"), (1, "x", "copies"), (2, "x", "copies"),
+        (1, "x", "fewer"), (1, "x", "fewer and other"), (1, "x", "more"), (1, "x", "more"), (1, "x", "absent"),
+        (1, None, "nulls"), (None, "1", "nulls"), (1, "x", None), (3, "x", "twice"), (3, "x", "twice"),
+    )
+    others = rows(
+        (1, None, "same"), (1, "x", "same"), (None, "x", "same"),
+        (1, "x", "copies"), (2, "x", "copies"), (2, "x", "copies"),
+        (1, "x", "fewer"), (1, "x", "fewer"), (2, "x", "fewer and other"), (2, "x", "fewer and other"),
+        (1, "x", "more"), (1, "x", "only here"), (None, "1", "nulls"), (None, None, "nulls"), (1, "x", None),
+        (3, "x", "twice"), (4, "x", "twice"), (4, "x", "twice"),
+    )
+    lacking = some.exceptAll(others).select("dt").distinct().collect()
+    expected = {"copies", "fewer and other", "more", "absent", "nulls", "twice"}
+    assert pipeline._exceeding(some, others, ["a", "b"]) == {r.dt for r in lacking} == expected
+    assert pipeline._exceeding(some, some.limit(0), ["a", "b"]) == {r.dt for r in some.collect()}
+    assert pipeline._exceeding(some.limit(0), some, ["a", "b"]) == set()
+
+
 def test_missing_date_alone_is_rebuilt(spark, job):
     job.run()
     before, ids = job.files(), job.ids()

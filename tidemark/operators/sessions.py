@@ -134,15 +134,28 @@ def _label_by_window(events: DataFrame, gap: int) -> DataFrame:
     return _labelled(session_start(seconds, TIME, "second", "second", gap), events.columns)
 
 
-def _label_by_cell(events: DataFrame, history: DataFrame, gap: int) -> DataFrame:
+def session_cells(history: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
+    """``user_id, cell, start_second``: when the session of a cell's events began.
+
+    Moves the whole history; keep it where several parts of one history are
+    labelled with :func:`sessionize_by`.
+    """
     cells = activity_cells(history, gap)
     starts = session_start(cells, "cell", "first_second", "last_second", gap)
-    joined = events.withColumn("cell", _cell(gap)).join(
-        starts.select(USER, "cell", "start_second"), [USER, "cell"], "left"
-    )
+    return starts.select(USER, "cell", "start_second")
+
+
+def sessionize_by(events: DataFrame, cells: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
+    """Add to ``events`` the session IDs that ``cells`` (see :func:`session_cells`,
+    with the same ``gap``) give them; cells without these events do not matter."""
+    joined = events.withColumn("cell", _cell(gap)).join(cells, [USER, "cell"], "left")
     return _labelled(joined, events.columns)
 
 
+def _label_by_cell(events: DataFrame, history: DataFrame, gap: int) -> DataFrame:
+    return sessionize_by(events, session_cells(history, gap), gap)
+
+
 def sessionize(
     events: DataFrame,
     gap: int = SESSION_GAP,

@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 import uuid
 from bisect import bisect_left
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -14,13 +15,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tidemark.functions.clock import LOCAL_ZONE
+from tidemark.functions.clock import DAY, LOCAL_ZONE
 from tidemark.operators import ledger
 from tidemark.operators.calendar import date_range, with_local_date
 from tidemark.operators.carried import reach
 from tidemark.operators.content import fingerprints
 from tidemark.operators.metrics import daily_counts, partition_stats
-from tidemark.operators.sessions import SESSION_GAP, sessionize, sessionize_within
+from tidemark.operators.sessions import SESSION_GAP, session_cells, sessionize, sessionize_by, sessionize_within
 from tidemark.operators.skew import SKEW_THRESHOLD, at_least, busiest, user_event_counts
 from tidemark.schema import DATE, RAW_EVENTS, SESSION_ID
 from tidemark.session import shared_dir, shuffle_width
@@ -176,11 +177,14 @@ def run(
         with shuffle_width(spark, rows):
             # Read three times: for the busiest, the skewed and the hot users.
             user_counts = user_event_counts(staged).persist(StorageLevel.MEMORY_AND_DISK)
+            cells = None
             try:
                 if work and not replace_not_contained:
                     plan = _kept_where_not_contained(staged, plan, output)
                 if any(row["action"] in _WORK for row in plan):
-                    plan = _with_changed_sessions(staged, plan, output, gap)
+                    plan, cells = _with_changed_sessions(
+                        staged, plan, output, gap, lambda rows: stage_rows(spark, rows, stages, f"{run_id}-cells")
+                    )
                 todo = [row for row in plan if row["action"] in _WORK]
                 undated_path = f"{folder}/undated/{run_id}" if todo and undated_rows else None
                 if undated_path:
@@ -201,7 +205,7 @@ def run(
                     spark, summary.dates(ledger.SKIP, ledger.KEEP_NOT_CONTAINED), output, table
                 )
                 if todo:
-                    labelled = _label(staged, todo, gap, rows, user_counts)
+                    labelled = _label(staged, todo, gap, rows, user_counts, cells)
                     _publish(spark, labelled, todo, summary, output, store, table)
                     if analyze:
                         dates = [row[DATE] for row in todo]
@@ -252,37 +256,96 @@ def _kept_where_not_contained(staged: DataFrame, plan: list[Row], output: str) -
     return _with_action(plan, _not_contained(staged, dates, output), ledger.KEEP_NOT_CONTAINED)
 
 
+def _exceeding(some: DataFrame, others: DataFrame, columns: list[str]) -> set[str]:
+    """The dates of which ``some`` has rows that ``others`` lacks; copies count.
+
+    Fingerprints tell it without moving rows: of more rows some are lacking, and
+    of as many rows unless the fingerprints are equal. Only where ``some`` has
+    fewer rows of a date are they compared themselves.
+    """
+    found = fingerprints(some, columns).withColumn("side", F.lit(0))
+    found = found.unionByName(fingerprints(others, columns).withColumn("side", F.lit(1)))
+    sides: list[dict[str, Row]] = [{}, {}]
+    for row in found.collect():  # two rows per date
+        sides[row["side"]][row[DATE]] = row
+    exceeding, fewer = set(), []
+    for day, row in sides[0].items():
+        other = sides[1].get(day)
+        if other is None or row["record_count"] > other["record_count"]:
+            exceeding.add(day)
+        elif row["record_count"] < other["record_count"]:
+            fewer.append(day)
+        elif row["content"] != other["content"]:
+            exceeding.add(day)
+    if fewer:
+        wanted, whole = F.col(DATE).isin(fewer), [*columns, DATE]
+        lacking = some.where(wanted).select(*whole).exceptAll(others.where(wanted).select(*whole))
+        exceeding |= {row[DATE] for row in lacking.select(DATE).distinct().collect()}  # dates
+    return exceeding
+
+
+def _near(dates: set[str], known: set[str], gap: int) -> set[str]:
+    """Those of ``dates`` that a change on one of the ``known`` dates can reach."""
+    ahead = sorted(known)
+    return {d for d in dates if bisect_left(ahead, reach(d, gap, -1)) < bisect_left(ahead, d)}
+
+
+def _cells_of(cells: DataFrame, dates: list[str], gap: int) -> DataFrame:
+    """The cells that events of the dates, sorted, can lie in."""
+    first, last = (date.fromisoformat(d).toordinal() - date(1970, 1, 1).toordinal() for d in (dates[0], dates[-1]))
+    # A local date lies within the UTC days from the one before to the one after.
+    return cells.where(F.col("cell").between((first - 1) * DAY - gap, (last + 2) * DAY))
+
+
 def _with_changed_sessions(
-    staged: DataFrame, plan: list[Row], output: str, gap: int
-) -> list[Row]:
+    staged: DataFrame, plan: list[Row], output: str, gap: int, keep: Callable[[DataFrame], DataFrame]
+) -> tuple[list[Row], DataFrame | None]:
     """The plan with finished dates to rebuild whose session IDs have changed.
 
     A change reaches a date only from one whose events can lie within ``gap`` of
     its own. So the finished dates that near to one with work are compared, and
     from each that differs those near to it. Dates kept because the input lacks
     rows of them may differ from the input as well, and count as reached.
+
+    The history goes through one shuffle, however far a change reaches: its
+    session cells are written by ``keep`` and returned, if any date was compared.
+    Dates are compared in passes that look twice as far ahead each time, as if
+    every date differed, so passes grow with the logarithm of the dates.
     """
     finished = {row[DATE] for row in plan if row["action"] == ledger.SKIP}
     reached = {row[DATE] for row in plan if row["action"] != ledger.SKIP}
-    columns = ["user_id", "event_time", SESSION_ID, DATE]
+    columns = ["user_id", "event_time", SESSION_ID]
     looked_at: set[str] = set()
+    # Those that differ, reached or not, and those reached.
+    differing: set[str] = set()
     changed: set[str] = set()
+    cells, steps = None, 1
     while True:
-        known = sorted(reached)
-        after = {d for d in finished if bisect_left(known, reach(d, gap, -1)) < bisect_left(known, d)}
-        frontier = sorted((after & finished) - looked_at)
-        if not frontier:
-            return _with_action(plan, changed, ledger.REBUILD_SESSION)
-        looked_at.update(frontier)
-        wanted = F.col(DATE).isin(frontier)
-        now = sessionize_within(staged.where(wanted), staged, gap).select(*columns)
-        before = publish.read_dates(staged.sparkSession, output, frontier).select(*columns)
-        differ = {r[DATE] for r in now.exceptAll(before).select(DATE).distinct().collect()}
+        while more := _near(differing - changed, reached, gap):
+            changed |= more
+            reached |= more
+        asked: set[str] = set()
+        for _ in range(steps):
+            more = _near(finished - looked_at - asked, reached | asked, gap)
+            if not more:
+                break
+            asked |= more
+        if not asked:
+            return _with_action(plan, changed, ledger.REBUILD_SESSION), cells
+        looked_at |= asked
+        steps *= 2
+        if cells is None:
+            cells = keep(session_cells(staged, gap))
+        days = sorted(asked)
+        input_rows = staged.where(F.col(DATE).isin(days))
+        now = sessionize_by(input_rows, _cells_of(cells, days, gap), gap)
+        differ = _exceeding(now, publish.read_dates(staged.sparkSession, output, days), columns)
         if differ:
             # An equal number of other rows is no reason to lose the published ones.
-            differ -= _not_contained(staged, sorted(differ), output)
-        changed |= differ
-        reached |= differ
+            published = publish.read_dates(staged.sparkSession, output, sorted(differ))
+            input_rows = staged.where(F.col(DATE).isin(sorted(differ)))
+            differ -= _exceeding(published, input_rows, RAW_EVENTS.names)
+        differing |= differ
 
 
 def _append_statistics(
@@ -305,16 +368,19 @@ def _is_most(todo: list[Row], rows: int) -> bool:
 
 
 def _label(
-    staged: DataFrame, todo: list[Row], gap: int, rows: int, user_counts: DataFrame
+    staged: DataFrame, todo: list[Row], gap: int, rows: int, user_counts: DataFrame, cells: DataFrame | None
 ) -> DataFrame:
     """Sessionize the rows of the dates in ``todo`` within the whole input.
 
     If they are most of the input, all of it is labelled with one shuffle.
-    Otherwise only they are shuffled in full, and the rest by two columns.
+    Otherwise only they are shuffled in full, and the rest by two columns, or
+    the session ``cells`` of the input if they are there.
     """
     wanted = F.col(DATE).isin([row[DATE] for row in todo])
     if _is_most(todo, rows):
         return sessionize(staged, gap, user_counts).where(wanted)
+    if cells is not None:
+        return sessionize_by(staged.where(wanted), cells, gap)
     return sessionize_within(staged.where(wanted), staged, gap)
 
 
